@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import ship
 from .textcore import Block, blocks
 
 #: Rows in an Arrow batch; with long texts the default of 10,000 would not be bounded enough.
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
 
 
 def small_batches(spark: SparkSession) -> None:
+    """Prepare a session for the operators' Python code."""
+    ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import zlib  # noqa: F401
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +15,31 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii_semi_crf(spark: SparkSession, folder: str) -> DataFrame:
+    from .pii import KINDS, find
+
+    def derive(text, base, spans):
+        many = {k: 0 for k in KINDS}
+        for kind, _, _ in base:
+            many[kind] += 1
+        listed = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        return *many.values(), hashlib.sha256(listed.encode()).hexdigest(), ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+    return find(table(spark, folder, "documents"), "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string", derive)
+
+
+def op2_license_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from .license_rules import scan
+
+    return scan(table(spark, folder, "documents"))
+
+
+def op4_minhash_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
+    from .lsh_forest import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     from .quality_rules import judge, ledger
 
@@ -28,6 +52,12 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), tokenizer_file()).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    from .ngram_lm import score
+
+    return score(table(spark, folder, "documents"))
+
+
 def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     from .bpe import vocabulary
     from .bpe_codec import round_trip
@@ -45,5 +75,5 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(table(spark, folder, "documents"), path, "n_tokens long, ids_sha256 string, decoded_sha256 string", digest)
 
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules, op8_best_fit_packing, op10_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (op1_pii_semi_crf, op2_license_rules, op4_minhash_lsh_forest, op6_quality_rules, op8_best_fit_packing, op9_lm_scores, op10_bpe_round_trip)}
 ORACLES: dict[str, str] = {}

@@ -134,13 +134,17 @@ def buffer_of(column) -> tuple[memoryview, np.ndarray]:
     return memoryview(data if data is not None else b""), offsets
 
 
+#: Most texts in a block, so that a text's number fits into a byte.
+BLOCK_ROWS = 256
+
+
 def blocks(column, size: int = BLOCK_BYTES) -> Iterator[Block]:
-    """The column's texts in blocks of about `size` bytes."""
+    """The column's texts in blocks of about `size` bytes and at most BLOCK_ROWS texts."""
     data, offsets = buffer_of(column)
     n, first = len(column), 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1)
-        last = min(last, n)
+        last = min(last, n, first + BLOCK_ROWS)
         lo, hi = int(offsets[first]), int(offsets[last])
         yield Block(bytes(data[lo:hi]), offsets[first : last + 1] - lo, first, last)
         first = last
