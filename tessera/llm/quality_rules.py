@@ -70,8 +70,8 @@ POLICIES = {
 CURRENT = "2"
 
 
-def measure(docs: DataFrame, *carry: str) -> DataFrame:
-    """All measurements of every document, from its whole text; columns named in carry stay."""
+def measure(docs: DataFrame, *carry: str, keep_text: bool = False) -> DataFrame:
+    """All measurements of every document, from its whole text; columns named in carry stay, and the text on demand."""
 
     def work(block, rows):
         hashes, first, row = block.words(WORD)
@@ -102,19 +102,19 @@ def measure(docs: DataFrame, *carry: str) -> DataFrame:
             "n_words": n_words, "word_chars": block.sums(word & ((data & 0xC0) != 0x80)), "n_symbols": block.sums(SYMBOLS[data]), "n_dup_lines": lines - np.bincount(line_row[once], minlength=block.n),
             "n_repeat_words": covered[first[1:]] - covered[first[:-1]], "n_lines": lines, "n_upper": block.sums(UPPER[data]), "n_letters": block.sums(LETTER[data]),
         }
-        return {f.name: rows.column(i) for i, f in enumerate(rows.schema) if f.name != "text"} | values
+        return {f.name: rows.column(i) for i, f in enumerate(rows.schema) if keep_text or f.name != "text"} | values
 
     taken = documents(docs, *carry)
-    kept = [f for f in taken.schema if f.name != "text"]
+    kept = [f for f in taken.schema if keep_text or f.name != "text"]
     return per_block(taken, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{m} long" for m in MEASURES]), work)
 
 
-def ledger(docs: DataFrame) -> DataFrame:
+def ledger(docs: DataFrame, *carry: str, keep_text: bool = False) -> DataFrame:
     """doc_id, the measurements and `bits`: every rule evaluated once."""
     bits = F.lit(0)
     for name, fails in RULES:
         bits = bits + F.when(F.expr(fails), F.lit(BIT[name])).otherwise(F.lit(0))
-    return measure(docs).withColumn("bits", bits.cast("int"))
+    return measure(docs, *carry, keep_text=keep_text).withColumn("bits", bits.cast("int"))
 
 
 def judge(ledgered: DataFrame, policy: Policy | str = CURRENT) -> DataFrame:
