@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
@@ -33,3 +34,12 @@ def ship(spark: SparkSession) -> None:
         for f in sorted((ROOT / "tessera").rglob("*.py")):
             z.write(f, f.relative_to(ROOT))
     spark.sparkContext.addPyFile(str(place))
+
+
+def materialized(df: DataFrame, name: str = "stage") -> DataFrame:
+    """The rows from a Parquet table in the folder of spark.checkpoint.dir: computed once for all that read them, with a short plan, and safe from lost executors."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/tessera-checkpoints"
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
