@@ -18,7 +18,8 @@ def encode_monotone(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     low = max(0, int(universe // max(n, 1)).bit_length() - 1)
     values = values.astype(np.uint64)
     shifts = np.arange(low, dtype=np.uint64)
-    lower = np.packbits(((values[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel()) if low else np.zeros(0, np.uint8)
+    some = 1 << 16  # a multiple of eight, so that stretches end with whole bytes
+    lower = np.concatenate([np.packbits(((values[i : i + some, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel()) for i in range(0, n, some)]) if low and n else np.zeros(0, np.uint8)
     at = (values >> np.uint64(low)).astype(np.int64) + np.arange(n)
     bits = np.zeros(int(at[-1]) + 1 if n else 0, np.uint8)
     bits[at] = 1

@@ -211,20 +211,27 @@ def answer_pairs(shards: int):
         asked = [unpack(r[3], U64, np.uint32, np.uint8, np.uint32) for r in rows]
         context = np.concatenate([np.repeat(c, n) for c, n, _, _ in asked])
         word = np.concatenate([from_six(w) for _, _, w, _ in asked])
-        count = np.concatenate([k for *_, k in asked])
-        seen = count > 0
-        order = np.lexsort((word[seen], context[seen]))
-        c, w, k = context[seen][order], word[seen][order], count[seen][order].astype(np.int64)
-        new = np.concatenate(([True], (c[1:] != c[:-1]) | (w[1:] != w[:-1]))) if len(c) else np.zeros(0, bool)
+        order = np.lexsort((word, context))
+        context, word = context[order], word[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
         first = np.flatnonzero(new)
-        c, w, k = c[first], w[first], np.add.reduceat(k, first) if len(first) else k
+        context, word = context[first], word[first]
+        count = np.add.reduceat(np.concatenate([k for *_, k in asked])[order].astype(np.int64), first)
+        seen = count > 0
+        c = context[seen]
         with tempfile.TemporaryDirectory() as place:
             path = os.path.join(place, "trie")
-            BigramTrie.save(BigramTrie.build(c, w, k), path)
+            BigramTrie.save(BigramTrie.build(c, word[seen], count[seen]), path)
             trie = BigramTrie.open(path)
-            for r, (own, n, words, _) in zip(rows, asked, strict=True):
-                yield {"block": r[1], "place": r[2], "shard": shard, "payload": trie.find_sorted(np.repeat(own, n), from_six(words)).tobytes()}
+            # Every distinct pair is looked up once, in order.
+            codes = np.empty(len(order), np.uint8)
+            codes[order] = np.repeat(trie.find_sorted(context, word), np.diff(np.append(first, len(order))))
             del trie
+        at = 0
+        for r, (*_, k) in zip(rows, asked, strict=True):
+            yield {"block": r[1], "place": r[2], "shard": shard, "payload": codes[at : at + len(k)].tobytes()}
+            at += len(k)
         own, types = np.unique(c, return_counts=True)
         home = (mix(own ^ U64(13)) % U64(shards)).astype(np.int64)
         for s in np.unique(home).tolist():
