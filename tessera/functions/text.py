@@ -8,6 +8,7 @@ null counts as the empty text.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,6 +34,11 @@ def nfkc(text: Column) -> Column:
     return F.coalesce(form(F.when(~text.rlike(STABLE), text)), text)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once, however often it is used (within lambdas too)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def blank(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
@@ -67,8 +73,8 @@ def has_cjk(text: Column) -> Column:
 
 def bigrams(form: Column) -> Column:
     """Distinct pairs of neighbouring characters; a single character is a set of its own."""
-    each = F.transform(F.sequence(F.lit(1), F.greatest(F.length(form) - 1, F.lit(1))), lambda i: F.substring(form, i, F.lit(2)))
-    return F.when(form == "", F.array().cast("array<string>")).otherwise(F.array_distinct(each))
+    each = lambda f: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(f) - 1, F.lit(1))), lambda i: F.substring(f, i, F.lit(2))))
+    return let(form, lambda f: F.when(f == "", F.array().cast("array<string>")).otherwise(each(f)))
 
 
 def characters(form: Column) -> Column:
@@ -81,8 +87,8 @@ def tokens(form: Column) -> Column:
 
 def jaccard(a: Column, b: Column, both_empty: float = 0.0) -> Column:
     """Shared elements among all; two empty sets give `both_empty`."""
-    n = F.size(F.array_union(a, b))
-    return F.when(n == 0, F.lit(both_empty)).otherwise(F.size(F.array_intersect(a, b)) / n)
+    # Of sets, the union has as many elements as both less the shared ones.
+    return let(F.size(F.array_intersect(a, b)), lambda both: F.when(F.size(a) + F.size(b) == 0, F.lit(both_empty)).otherwise(both / (F.size(a) + F.size(b) - both)))
 
 
 def contained(a: Column, b: Column) -> Column:
@@ -96,9 +102,8 @@ def length_ratio(a: Column, b: Column) -> Column:
 
 def prepared(text: Column) -> Column:
     """Everything the similarities need of a text, computed once before a self-join."""
-    form, squash = compare_form(text), squash_form(text)
-    stripped = strip_title_prefix(text)
-    return F.struct(form.alias("form"), squash.alias("squash"), F.regexp_replace(squash, NOT_COMPACT, "").alias("compact"), bigrams(form).alias("grams"), tokens(form).alias("words"), stripped.alias("bare"), compare_form(stripped).alias("bare_form"))
+    parts = lambda form, squash, bare: F.struct(form.alias("form"), squash.alias("squash"), F.regexp_replace(squash, NOT_COMPACT, "").alias("compact"), bigrams(form).alias("grams"), tokens(form).alias("words"), bare.alias("bare"), compare_form(bare).alias("bare_form"))
+    return let(compare_form(text), lambda form: let(squash_form(text), lambda squash: let(strip_title_prefix(text), lambda bare: parts(form, squash, bare))))
 
 
 # ---- similarities of prepared texts
@@ -129,8 +134,8 @@ def field_match(a: Column, b: Column) -> Column:
 def phrase_similarity(a: Column, b: Column) -> Column:
     """The best of containment, bigrams, and keywords with bigrams."""
     inside = F.when(contained(a.compact, b.compact), 0.45 + 0.5 * length_ratio(a.compact, b.compact)).otherwise(0.0)
-    chars = text_similarity(a, b)
-    return F.when((a.form == "") | (b.form == ""), 0.0).when(a.form == b.form, 1.0).otherwise(F.greatest(inside, 0.6 * keyword_similarity(a, b) + 0.4 * chars, chars))
+    best = let(text_similarity(a, b), lambda chars: F.greatest(inside, 0.6 * keyword_similarity(a, b) + 0.4 * chars, chars))
+    return F.when((a.form == "") | (b.form == ""), 0.0).when(a.form == b.form, 1.0).otherwise(best)
 
 
 def title_similarity(a: Column, b: Column, a_bare: Column, b_bare: Column) -> Column:
@@ -144,8 +149,8 @@ def bare_or_whole(text: Column) -> Column:
 
 def alignment_score(a: Column, b: Column) -> Column:
     """Containment decides by itself; otherwise keywords and bigrams."""
-    chars = text_similarity(a, b)
-    return F.when((a.form == "") | (b.form == ""), 0.0).when(a.form == b.form, 1.0).when(contained(a.compact, b.compact), 0.45 + 0.5 * length_ratio(a.compact, b.compact)).otherwise(F.greatest(0.6 * keyword_similarity(a, b) + 0.4 * chars, chars))
+    best = let(text_similarity(a, b), lambda chars: F.greatest(0.6 * keyword_similarity(a, b) + 0.4 * chars, chars))
+    return F.when((a.form == "") | (b.form == ""), 0.0).when(a.form == b.form, 1.0).when(contained(a.compact, b.compact), 0.45 + 0.5 * length_ratio(a.compact, b.compact)).otherwise(best)
 
 
 def title_alignment_score(a: Column, b: Column, a_bare: Column, b_bare: Column) -> Column:
@@ -156,7 +161,10 @@ def title_alignment_score(a: Column, b: Column, a_bare: Column, b_bare: Column)
 
 def evidence_prepared(text: Column) -> Column:
     """What evidence_similarity needs; tokens are taken before white space goes."""
-    squash = squash_form(text)
+    return let(squash_form(text), lambda squash: _evidence_parts(text, squash))
+
+
+def _evidence_parts(text: Column, squash: Column) -> Column:
     return F.struct(squash.alias("squash"), F.regexp_replace(squash, NOT_COMPACT, "").alias("compact"), bigrams(squash).alias("grams"), tokens(F.lower(blank(text))).alias("words"), characters(squash).alias("chars"), has_cjk(text).alias("cjk"))
 
 
@@ -164,7 +172,7 @@ def evidence_similarity(a: Column, b: Column) -> Column:
     """Likeness of a claim and a piece of evidence: containment counts by the shorter length."""
     short, ratio = F.least(F.length(a.compact), F.length(b.compact)), length_ratio(a.compact, b.compact)
     inside = F.when(short <= 2, 0.25 + 0.25 * ratio).when(short <= 4, 0.45 + 0.2 * ratio).otherwise(0.65 + 0.25 * ratio)
-    grams, words = jaccard(a.grams, b.grams, 1.0), jaccard(a.words, b.words, 1.0)
+    grams, words = jaccard(a.grams, b.grams, 1.0), jaccard(a.words, b.words, 1.0)  # of distinct elements
     return (
         F.when((a.squash == "") | (b.squash == ""), 0.0)
         .when(a.squash == b.squash, 1.0)

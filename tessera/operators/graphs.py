@@ -11,7 +11,6 @@ edges: item, model, position, source, target (node numbers), label
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,40 +90,50 @@ def _sweep(rows: list[tuple[float, float, float, int, tuple[float, float] | None
 
 def reindex(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges numbered by visual order within each annotator's graph. Depths and the sweep over rows, which keeps a running mean, are computed in Python, a graph at a time."""
-    keys = ["item", "model"]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema if f.name not in ("row_index", "col_index", "order_index")) + ", number long, row_index int, col_index int"
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def number(graph: pd.DataFrame, drawn: pd.DataFrame) -> pd.DataFrame:
-        own = lambda v: None if v is None or pd.isna(v) else v
-        if not len(graph):
-            return pd.DataFrame({n: [] for n in names})
-        graph = graph.sort_values(["order_index", "node"], na_position="last")
-        depth = _depths(graph["node"].tolist(), [own(v) for v in graph["order_index"]], list(zip(drawn["source"], drawn["target"], strict=True)))
-        some = []
-        for i, r in enumerate(graph.itertuples()):
-            order = own(r.order_index) or r.node or 10**9
-            if r.box is not None:
-                b = [float(x) for x in r.box]
-                raw, x, height, bounds = (b[1] + b[3]) / 2, (b[0] + b[2]) / 2, max(0.0, b[3] - b[1]), (b[1], b[3])
-            else:
-                raw, x, height, bounds = 0.1 * (own(r.row_index) or own(r.order_index) or r.node or 10**6), 0.1 * (own(r.col_index) or 1), 0.0, None
-            y = raw + 0.12 * max(0, depth[r.node] - 1)
-            some.append((round(y, 4), round(x, 4), order, f"N{r.node:03d}", i, (y, raw, height, order, bounds, x)))
-        some.sort(key=lambda s: s[:4])
-        rows = _sweep([s[5] for s in some])
-        ranked = sorted(zip(rows, some, strict=True), key=lambda t: (t[0], t[1][1], t[1][0], t[1][2], t[1][3]))
-        out = graph.iloc[[s[4] for _, s in ranked]].copy()
-        out["row_index"] = [r for r, _ in ranked]
-        out["col_index"] = out.groupby("row_index").cumcount() + 1
-        out["number"] = range(1, len(out) + 1)
-        return out[names]
-
-    done = nodes.groupBy(*keys).cogroup(edges.select(F.col("item").alias("i"), F.col("model").alias("m"), "source", "target").groupBy("i", "m")).applyInPandas(number, schema)
-    end = lambda name: done.select(*keys, F.col("node").alias(name), F.col("number").alias(f"new_{name}"))
+    keys, own = ["item", "model"], ["node", "order_index", "row_index", "col_index", "box", "shape", "text"]
+    drawn = nodes.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("order_index", "node").alias("o"), *own))).alias("n"))
+    ends = edges.groupBy(*keys).agg(F.collect_list(F.struct("source", "target")).alias("e"))
+    kinds = {f.name: f.dataType.simpleString() for f in nodes.schema}
+    placed = "array<struct<node:bigint,row_index:int,col_index:int>>"
+
+    def number(batches):
+        for batch in batches:
+            batch["p"] = [_place(n, [] if e is None else e) for n, e in zip(batch["n"], batch["e"], strict=True)]
+            yield batch[[*keys, "n", "p"]]
+
+    listed = ", ".join(f"{c}: {kinds[c]}" for c in own)
+    order = f"o: {'bigint' if 'bigint' in (kinds['node'], kinds['order_index']) else kinds['node']}"
+    schema = f"item {kinds['item']}, model {kinds['model']}, n array<struct<{order}, {listed}>>, p {placed}"
+    done = drawn.join(ends, keys, "left").mapInPandas(number, schema).select(*keys, F.explode(F.arrays_zip("n", "p")).alias("z"))
+    done = done.select(*keys, F.col("z.n.node").alias("old"), F.col("z.p.node").alias("node"), F.col("z.p.node").cast("int").alias("order_index"), "z.p.row_index", "z.p.col_index", "z.n.box", "z.n.shape", "z.n.text")
+    end = lambda name: done.select(*keys, F.col("old").alias(name), F.col("node").alias(f"new_{name}"))
     moved = edges.join(end("source"), [*keys, "source"]).join(end("target"), [*keys, "target"])
     other = [c for c in edges.columns if c not in (*keys, "source", "target")]
-    return done.drop("node").withColumnRenamed("number", "node").withColumn("order_index", F.col("node")), moved.select(*keys, F.col("new_source").alias("source"), F.col("new_target").alias("target"), *other)
+    return done.drop("old"), moved.select(*keys, F.col("new_source").alias("source"), F.col("new_target").alias("target"), *other)
+
+
+def _place(nodes: list[dict], edges: list[dict]) -> list[dict]:
+    """New number, row and column of each of a graph's nodes, in the nodes' order."""
+    depth = _depths([n["node"] for n in nodes], [n["order_index"] for n in nodes], [(e["source"], e["target"]) for e in edges])
+    some = []
+    for i, n in enumerate(nodes):
+        order = n["order_index"] or n["node"] or 10**9
+        if n["box"] is not None:
+            left, top, right, bottom = map(float, n["box"])
+            raw, x, height, bounds = (top + bottom) / 2, (left + right) / 2, max(0.0, bottom - top), (top, bottom)
+        else:
+            raw, x, height, bounds = 0.1 * (n["row_index"] or n["order_index"] or n["node"] or 10**6), 0.1 * (n["col_index"] or 1), 0.0, None
+        y = raw + 0.12 * max(0, depth[n["node"]] - 1)
+        some.append(((round(y, 4), round(x, 4), order, f"N{n['node']:03d}"), i, (y, raw, height, order, bounds, x)))
+    some.sort(key=lambda s: s[0])
+    rows = _sweep([s[2] for s in some])
+    ranked = sorted(zip(rows, some, strict=True), key=lambda t: (t[0], t[1][0][1], t[1][0][0], t[1][0][2], t[1][0][3]))
+    out: list[dict] = [{}] * len(nodes)
+    column = dict.fromkeys(rows, 0)
+    for number, (row, (_, i, _)) in enumerate(ranked, 1):
+        column[row] += 1
+        out[i] = {"node": number, "row_index": row, "col_index": column[row]}
+    return out
 
 
 # ---- voting

@@ -199,7 +199,7 @@ def role_pools(spark, d):
 
 
 _EV = f"{q.squash('text')} AS x_squash, {q.compact('text')} AS x_compact"
-MATCHES = f"{TURN_LINES}, cl AS {_pool_sql('(SELECT * FROM e WHERE role = $$assistant$$)', 'item', 2)}, ev AS {_pool_sql('(SELECT * FROM e WHERE role = $$user$$)', 'item')}, cp AS (SELECT *, {_EV}, {q.words('lower(text)')} AS x_words FROM cl), ep AS (SELECT *, {_EV}, {q.words('lower(text)')} AS x_words FROM ev), ca AS (SELECT *, {q.grams('x_squash')} AS x_grams FROM cp), ea AS (SELECT *, {q.grams('x_squash')} AS x_grams FROM ep), j AS (SELECT a.item, a.position, a.text, b.position AS at, b.text AS other, {', '.join(f'a.x_{c} AS a_{c}, b.x_{c} AS b_{c}' for c in ('squash', 'compact', 'grams', 'words'))} FROM ca a LEFT JOIN ea b ON a.item = b.item), s AS (SELECT item, position, text, at, other, coalesce({q.evidence_sim('a', 'b')}, 0.0) AS s FROM j), r AS (SELECT *, row_number() OVER (PARTITION BY item, position ORDER BY s DESC, at) AS k FROM s), best AS (SELECT item, position, text, CASE WHEN s > 0 THEN other END AS best_text, round(s, 4) AS similarity FROM r WHERE k = 1)"
+MATCHES = f"{TURN_LINES}, cl AS {_pool_sql('(SELECT * FROM e WHERE role = $$assistant$$)', 'item', 2)}, ev AS {_pool_sql('(SELECT * FROM e WHERE role = $$user$$)', 'item')}, cp AS (SELECT *, {_EV}, {q.words('lower(text)')} AS x_words FROM cl), ep AS (SELECT *, {_EV}, {q.words('lower(text)')} AS x_words FROM ev), ca AS (SELECT *, {q.grams('x_squash')} AS x_grams FROM cp), ea AS (SELECT *, {q.grams('x_squash')} AS x_grams FROM ep), j AS (SELECT a.item, a.position, a.text, b.position AS place, b.text AS other, {', '.join(f'a.x_{c} AS a_{c}, b.x_{c} AS b_{c}' for c in ('squash', 'compact', 'grams', 'words'))} FROM ca a LEFT JOIN ea b ON a.item = b.item), s AS (SELECT item, position, text, place, other, coalesce({q.evidence_sim('a', 'b')}, 0.0) AS s FROM j), r AS (SELECT *, row_number() OVER (PARTITION BY item, position ORDER BY s DESC, place) AS k FROM s), best AS (SELECT item, position, text, CASE WHEN s > 0 THEN other END AS best_text, round(s, 4) AS similarity FROM r WHERE k = 1)"
 
 
 def _matches(spark: SparkSession, d: str) -> DataFrame:
@@ -338,12 +338,12 @@ def seal_names(spark, d):
 
 # ---- boxes and graphs
 
-BOX = "[round(l_discount * 5, 4), round(l_tax * 5, 4), round(least(1.0, l_discount * 5 + l_quantity / 100), 4), round(least(1.0, l_tax * 5 + l_quantity / 200), 4)]"
+BOX = "[round(l_discount * 5, 4), round(l_tax * 5, 4), round(least(1.0, l_discount * 5 + l_quantity / 50), 4), round(least(1.0, l_tax * 5 + l_quantity / 100), 4)]"
 
 
 def _box() -> Column:
     x, y, n = F.col("l_discount") * 5, F.col("l_tax") * 5, F.col("l_quantity")
-    return geometry.clean_box(F.array(x, y, x + n / 100, y + n / 200))
+    return geometry.clean_box(F.array(x, y, x + n / 50, y + n / 100))
 
 
 def _dist(a: str, b: str) -> str:
@@ -358,11 +358,11 @@ def _iou(a: str, b: str) -> str:
     return f"CASE WHEN {inter} <= 0 THEN 0.0 ELSE round({inter} / ({area(a)} + {area(b)} - {inter}), 4) END"
 
 
-@query(f"WITH {CLAIMS}, b AS (SELECT item, model, {BOX} AS x FROM c) SELECT a.item, a.model AS l, b.model AS r, round({_dist('a.x', 'b.x')}, 3) AS distance, round({_iou('a.x', 'b.x')}, 3) AS iou FROM b a JOIN b ON a.item = b.item AND a.model < b.model")
+@query(f"WITH {CLAIMS}, b AS (SELECT item, model, {BOX} AS x FROM c) SELECT a.item, a.model AS l, b.model AS r, CAST(round(200 * {_dist('a.x', 'b.x')}) AS INTEGER) AS distance, CAST(round(200 * {_iou('a.x', 'b.x')}) AS INTEGER) AS iou FROM b a JOIN b ON a.item = b.item AND a.model < b.model")
 def box_pairs(spark, d):
     rows = _claims(spark, d).select("item", "model", _box().alias("x"))
     p = votes.pairs(rows, ["item"], "model", ["x"])
-    return p.select("item", F.col("l_model").alias("l"), F.col("r_model").alias("r"), F.round(geometry.center_distance(F.col("l_x"), F.col("r_x")), 3).alias("distance"), F.round(geometry.iou(F.col("l_x"), F.col("r_x")), 3).alias("iou"))
+    return p.select("item", F.col("l_model").alias("l"), F.col("r_model").alias("r"), F.round(200 * geometry.center_distance(F.col("l_x"), F.col("r_x"))).cast("int").alias("distance"), F.round(200 * geometry.iou(F.col("l_x"), F.col("r_x"))).cast("int").alias("iou"))
 
 
 GRAPH = f"n AS (SELECT l_orderkey AS item, l_suppkey % 3 AS model, row_number() OVER (PARTITION BY l_orderkey, l_suppkey % 3 ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS node, l_returnflag || l_linestatus AS text, {SHAPE} AS shape, {BOX} AS box, l_linenumber AS row_index, CAST(l_quantity AS INTEGER) % 5 AS col_index, l_linestatus, l_returnflag FROM lineitem), k AS (SELECT item, model, count(*) AS n FROM n GROUP BY ALL), h AS (SELECT item, CAST(count(*) AS INTEGER) AS models, list_reverse_sort(list(n)) AS c FROM k GROUP BY item HAVING count(*) >= 2), ch AS (SELECT item, models, CAST(CASE WHEN models = 2 THEN c[2] ELSE c[2] END AS INTEGER) AS selected, CASE WHEN models = 2 THEN CASE WHEN c[1] <> c[2] THEN 'ambiguous' ELSE 'fused' END WHEN c[1] - c[3] >= 2 THEN 'ambiguous' WHEN c[2] > c[3] THEN 'partial' ELSE 'fused' END AS status, CAST(CASE WHEN models = 2 THEN c[1] - c[2] ELSE c[2] - c[3] END AS INTEGER) AS inconsistent FROM h), ed AS (SELECT item, model, node AS position, CASE WHEN l_linestatus = 'F' THEN node + 1 ELSE node END AS source, CASE WHEN l_linestatus = 'F' THEN node ELSE node + 1 END AS target, l_returnflag AS label FROM (SELECT *, lead(node) OVER (PARTITION BY item, model ORDER BY node) AS nx FROM n) WHERE nx IS NOT NULL)"
