@@ -111,11 +111,12 @@ def test_packing(docs, texts, none):
     assert packing.pack(none, tokenizer_file()).count() == 0
 
 
+@pytest.mark.parametrize("setting", packing.SETTINGS[:3])
 @pytest.mark.parametrize("kind", [lambda r: r.randint(1, 1024), lambda r: r.choice([500, 513, 300, 1024, 1]), lambda r: r.randint(342, 600)])
-def test_plans_are_whole(kind):
+def test_plans_are_whole(kind, setting):
     r = random.Random(1)
     histogram = Counter(kind(r) for _ in range(700))
-    rows, bins = packing.best_plan(dict(histogram), 1024)
+    rows, bins = packing.plan(dict(histogram), 1024, *setting)
     used, count = defaultdict(int), Counter()
     for size, _, n, sequence, _, stack in rows:
         count[size] += n
@@ -277,13 +278,13 @@ def test_co_training(spark, none):
     r = random.Random(1)
     good = lambda: " ".join(r.choices(["the", "house", "river", "of", "and", "walked", "slowly", "under"], k=80))
     bad = lambda: " ".join(w + r.choice(["***", "###", "$$$"]) for w in r.choices(["buy", "now", "win"], k=80))
-    rows = [(i, (good if i % 3 else bad)(), "en", "good" if i % 3 else "spam", 400, "x") for i in range(240)]
+    rows = [(i, (good if i % 3 else bad)(), "en", "good" if i % 3 else "spam", 400, "x") for i in range(600)]
     docs = spark.createDataFrame([*rows, (999, None, None, None, None, None)], COLUMNS)
-    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(120)], "doc_id long, quality int")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(450)], "doc_id long, quality int")
     model = co_training.fit(docs, labels)
     assert model.usable and sum(map(sum, model.history)) > 0
     got = by_id(co_training.score(docs, model).collect())
-    assert all(got[i].kept == (i % 3 > 0) for i in range(240)) and 999 in got
+    assert all(got[i].kept == (i % 3 > 0) for i in range(600)) and 999 in got
     empty = co_training.fit(docs, labels.limit(0))
     assert not empty.usable and all(r.kept for r in co_training.score(docs, empty).collect())
     assert co_training.score(none, model).count() == 0
