@@ -302,7 +302,7 @@ def test_pipeline_stages(spark, texts, tmp_path):
     r = random.Random(8)
     vocab = [f"w{k}" for k in range(400)]
     clean = [" ".join(r.choices(vocab, k=120)) + " mail a.b@c.de" for _ in range(12)]
-    rows = [(i, t, "en", "s", len(t), "clash") for i, t in enumerate([*clean, clean[0], clean[1] + " tail", "short", None])]
+    rows = [(i, t, "en", "s", len(t or ""), "clash") for i, t in enumerate([*clean, clean[0], clean[1] + " tail", "short", None])]
     docs = spark.createDataFrame(rows, COLUMNS)
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
