@@ -152,13 +152,15 @@ def candidates(nodes: DataFrame, similarity: float) -> DataFrame:
     spark = nodes.sparkSession
     least = int(MINIMA * similarity - 4.6 * (MINIMA * similarity * (1 - similarity)) ** 0.5)
     trees = nodes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("tree"), F.substring(F.col("signature"), t * (2 * STEP) + 1, F.lit(2 * DEPTH)).alias("region")))).alias("t")).select("node", "t.tree", "t.region")
-    shared = trees.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    live = trees.join(shared, ["tree", "region"], "left_semi").groupBy("node").agg(F.collect_list("tree").alias("trees"))
+    shared = trees.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    live = trees.join(shared, ["tree", "region"]).groupBy("node").agg(F.collect_list(F.struct("tree", "n")).alias("trees"))
     turned = F.concat(F.substring(F.col("signature"), F.col("tree") * (2 * STEP) + 1, F.lit(2 * MINIMA)), F.substring(F.col("signature"), F.lit(1), F.col("tree") * (2 * STEP)))
-    rows = written(nodes.join(live, "node").select("node", "signature", F.explode("trees").alias("tree")).select("tree", turned.alias("order"), "node"), "orders")
+    rows = written(nodes.join(live, "node").select("node", "signature", F.explode("trees").alias("t")).select("node", "signature", "t.tree", "t.n").select("tree", turned.alias("order"), "node", "n"), "orders")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ordered = rows.repartitionByRange(parts, "tree", "order", "node").sortWithinPartitions("tree", "order", "node")
-    found = pairs_in_regions(ordered, least)
+    # A partition ends between regions; only crowded ones are cut.
+    cut = lambda c: F.when(F.col("n") > REGION, F.col(c))
+    ordered = rows.repartitionByRange(parts, F.col("tree"), F.substring("order", 1, 2 * DEPTH), cut("order"), cut("node")).sortWithinPartitions("tree", "order", "node")
+    found = pairs_in_regions(ordered.select("tree", "order", "node"), least)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "agree").groupBy("a", "b").agg(F.max("agree").alias("agree"))
 
 

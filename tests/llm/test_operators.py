@@ -213,6 +213,20 @@ def test_near_duplicates(docs, texts, none):
     assert not got[None].kept and lsh_forest.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_with_more_partitions_than_rows(spark):
+    r = random.Random(3)
+    plain = [[f"w{r.randrange(10**6)}" for _ in range(60)] for _ in range(8)]
+    rows = [(2 * i + k, " ".join([*w, *["tail"] * k]), "en", "s", 1, "x") for i, w in enumerate(plain) for k in (0, 1)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        nodes = lsh_forest.signed(spark.createDataFrame(rows, COLUMNS)).select(F.col("doc_id").alias("node"), "signature")
+        pairs = {(x.a, x.b) for x in lsh_forest.candidates(nodes, 0.85).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert pairs == {(2 * i, 2 * i + 1) for i in range(8)}
+
+
 def test_language_model(docs, texts, none):
     tokens = {i: [*words((t or "").translate(LOWER)), "</s>"] for i, t in enumerate(texts)}
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in tokens}
