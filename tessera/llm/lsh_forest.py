@@ -11,8 +11,10 @@ that the depth adapts to the region. Pairs whose signatures agree well enough
 are candidates.
 
 Candidates are confirmed on full sets: first each node's best one, then all
-whose nodes are not connected by then. Components are computed over the
-confirmed links.
+whose nodes are not connected by then. These only order the work: at last every
+region with nodes of several components compares all of their signatures, and
+each well-agreeing pair that could join two components is confirmed or refused
+on full sets. Components are computed over the confirmed links.
 
 Null texts and texts without words have an empty set: they are linked with
 nothing. Rows with equal texts are linked. A row without an id is linked like
@@ -147,15 +149,23 @@ def pairs_in_regions(sorted_rows: DataFrame, least: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a long, b long, agree int")
 
 
-def candidates(nodes: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b, agree), a < b, of nodes (node, signature) that are neighbours in an order and agree well."""
-    spark = nodes.sparkSession
-    least = int(MINIMA * similarity - 4.6 * (MINIMA * similarity * (1 - similarity)) ** 0.5)
+def least_agreement(similarity: float) -> int:
+    """Minima in which a pair at the threshold agrees, but for 4.6 standard deviations."""
+    return int(MINIMA * similarity - 4.6 * (MINIMA * similarity * (1 - similarity)) ** 0.5)
+
+
+def orders(nodes: DataFrame) -> DataFrame:
+    """(tree, order, node, n): the turned signatures of nodes (node, signature) in each tree where they share a region, which has n nodes."""
     trees = nodes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("tree"), F.substring(F.col("signature"), t * (2 * STEP) + 1, F.lit(2 * DEPTH)).alias("region")))).alias("t")).select("node", "t.tree", "t.region")
     shared = trees.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     live = trees.join(shared, ["tree", "region"]).groupBy("node").agg(F.collect_list(F.struct("tree", "n")).alias("trees"))
     turned = F.concat(F.substring(F.col("signature"), F.col("tree") * (2 * STEP) + 1, F.lit(2 * MINIMA)), F.substring(F.col("signature"), F.lit(1), F.col("tree") * (2 * STEP)))
-    rows = written(nodes.join(live, "node").select("node", "signature", F.explode("trees").alias("t")).select("node", "signature", "t.tree", "t.n").select("tree", turned.alias("order"), "node", "n"), "orders")
+    return written(nodes.join(live, "node").select("node", "signature", F.explode("trees").alias("t")).select("node", "signature", "t.tree", "t.n").select("tree", turned.alias("order"), "node", "n"), "orders")
+
+
+def candidates(rows: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b, agree), a < b, of nodes that are neighbours in an order and agree well: those to confirm first."""
+    spark, least = rows.sparkSession, least_agreement(similarity)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     # A partition ends between regions; only crowded ones are cut.
     cut = lambda c: F.when(F.col("n") > REGION, F.col(c))
@@ -220,12 +230,111 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def agreeing(tree: int, sig: np.ndarray, root: np.ndarray, least: int):
+    """Each row of a region, sorted by root, with those rows after it of other roots that agree well and share no region of an earlier tree."""
+    n = len(sig)
+    ends = np.searchsorted(root, root, side="right")
+    shifts = [(t - tree) * STEP % MINIMA for t in range(tree)]
+    earlier = np.stack([np.ascontiguousarray(sig[:, k : k + DEPTH]).view(U64)[:, 0] for k in shifts], axis=1) if tree else np.zeros((n, 0), U64)
+    for i in range(n):
+        lo = int(ends[i])
+        if lo == n:
+            break
+        same = (sig[lo:] == sig[i]).view(U64).sum(axis=1)
+        j = lo + np.flatnonzero((same * U64(0x0101010101010101)) >> U64(56) >= least)
+        if len(j):
+            j = j[~(earlier[j] == earlier[i]).any(axis=1)]
+        if len(j):
+            yield i, j
+
+
+def open_nodes(tree: int, node: np.ndarray, sig: np.ndarray, root: np.ndarray, sets: None, least: int, percent: int) -> tuple[list, list]:
+    """The tree and the node of all rows in pairs that may still join two components."""
+    hit = np.zeros(len(node), bool)
+    for i, j in agreeing(tree, sig, root, least):
+        hit[i] = True
+        hit[j] = True
+    return [tree] * int(hit.sum()), node[hit].tolist()
+
+
+def joining_links(tree: int, node: np.ndarray, sig: np.ndarray, root: np.ndarray, sets: list[bytes], least: int, percent: int) -> tuple[list, list]:
+    """Confirmed links that join components: of all well-agreeing pairs whose roots differ, one way through each."""
+    now, left, right = root.copy(), [], []
+    size = np.array([len(s) for s in sets]) // 6
+    values: dict[int, np.ndarray] = {}
+    own = lambda i: values[i] if i in values else values.setdefault(i, unpacked(sets[i]))
+    for i, j in agreeing(tree, sig, root, least):
+        j = j[(now[j] != now[i]) & (100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i]))]
+        x = own(i)
+        for k in range(0, len(j), 64):
+            part = j[k : k + 64]
+            part = part[now[part] != now[i]]
+            if not len(part):
+                continue
+            y = np.concatenate([own(b) for b in part.tolist()])
+            found = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
+            common = np.add.reduceat(found.astype(np.int64), np.cumsum(size[part]) - size[part])
+            for b in part[100 * common >= percent * (size[i] + size[part] - common)].tolist():
+                if now[b] != now[i]:
+                    now[now == now[b]] = now[i]
+                    left.append(int(node[i]))
+                    right.append(int(node[b]))
+    return left, right
+
+
+def in_regions(rows: DataFrame, work, names: tuple[str, str], similarity: float, percent: int) -> DataFrame:
+    """Distinct pairs of numbers that `work` finds among the rows (tree, order, node, root, perhaps set) of each region with more than one root."""
+    least, parts = least_agreement(similarity), max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    region = F.substring("order", 1, 2 * DEPTH).alias("region")
+    mixed = rows.groupBy("tree", region).agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("tree", "region")
+    dealt = rows.withColumn("region", region).join(mixed, ["tree", "region"], "left_semi")
+    dealt = dealt.repartition(parts, "tree", "region").sortWithinPartitions("tree", "region", "root", "node")
+    has_sets = "set" in rows.columns
+
+    def run(batches):
+        key, held = None, []
+
+        def flush():
+            if len(held) > 1:
+                _, order, node, root, sets = zip(*held, strict=True)
+                sig = np.frombuffer(b"".join(order), ">u2").astype(np.uint16).reshape(-1, MINIMA)
+                a, b = work(key[0], np.array(node, np.int64), sig, np.array(root, np.int64), sets if has_sets else None, least, percent)
+                if a:
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], list(names))
+            held.clear()
+
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for row in zip(*columns, *[] if has_sets else [[None] * batch.num_rows], strict=True):
+                if (row[0], row[1][: 2 * DEPTH]) != key:
+                    yield from flush()
+                    key = row[0], row[1][: 2 * DEPTH]
+                held.append(row)
+        yield from flush()
+
+    return dealt.select("tree", "order", "node", "root", *["set"] * has_sets).mapInArrow(run, f"{names[0]} long, {names[1]} long").distinct()
+
+
+def left_apart(docs: DataFrame, rows: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links (a, b) that join components, from all well-agreeing pairs in a shared region whose nodes' roots differ."""
+    placed = rows.join(roots, "node", "left").select("tree", "order", "node", F.coalesce("component", "node").alias("root"))
+    flagged = written(in_regions(placed, open_nodes, ("tree", "node"), percent / 100, percent), "open")
+    if flagged.isEmpty():
+        return None
+    lacking = written(flagged.select("node").distinct().join(sets, "node", "left_anti"), "lacking")
+    if not lacking.isEmpty():
+        sets = sets.union(sets_of(docs, lacking))
+    chosen = placed.join(flagged.withColumn("tree", F.col("tree").cast("int")), ["tree", "node"], "left_semi").join(sets, "node").select("tree", "order", "node", "root", "set")
+    return written(in_regions(chosen, joining_links, ("a", "b"), percent / 100, percent), "joining")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document."""
     small = written(signed(docs), "signatures")
     groups = small.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("own"), F.first("signature").alias("signature"))
     nodes = written(groups.select("k1", "k2", F.coalesce(F.col("own").cast("long"), -F.abs(F.col("k1"))).alias("node"), F.col("own").isNotNull().alias("named"), "signature"), "nodes")
-    pairs = written(candidates(nodes.filter("named").select("node", "signature"), percent / 100), "candidates")
+    rows = orders(nodes.filter("named").select("node", "signature"))
+    pairs = written(candidates(rows, percent / 100), "candidates")
     sets = written(sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
     # Each node's best candidate comes first; the others only where it leaves nodes apart.
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "agree")
@@ -237,7 +346,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     apart = pairs.select("a", "b").join(root("a"), "a", "left").join(root("b"), "b", "left").filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
     more = written(confirmed(apart, sets, percent), "confirmed")
     if not more.isEmpty():
-        roots = components(links.union(more))
+        links = links.union(more)
+        roots = components(links)
+    # What was not a candidate so far is compared where its nodes are still apart.
+    rest = left_apart(docs, rows, roots, sets, percent)
+    if rest is not None and not rest.isEmpty():
+        roots = components(links.union(rest))
     named = nodes.join(roots, "node", "left").select("k1", "k2", F.when(F.col("named"), F.coalesce("component", "node")).alias("component"))
     joined = small.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
     out = joined.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -213,6 +213,38 @@ def test_near_duplicates(docs, texts, none):
     assert not got[None].kept and lsh_forest.near_duplicates(none).count() == 0
 
 
+def dense_groups(groups, members):
+    """Texts of groups on one template. The first two, of 24, have one true link: nine places differ between their first texts, ten or more between all others."""
+    out = []
+    for g in range(groups):
+        for m in range(24 if g < 2 else members):
+            w = [f"t76.{k}" for k in range(600)]
+            for k in (0, 1, *range(2 + 4 * g, 6 + 4 * g)) if g < 2 else range(10):
+                w[6 + 60 * max(g, 1) - 60 + 6 * k] = "both" if g < 2 and k < 2 else f"g{g}"
+            for k in range((0, 1)[g] if g < 2 and not m else 2 if g < 2 else 1):
+                w[12 + 60 * groups - 60 + 6 * ((2 * m + k) % 18)] = f"m{g}.{m}.{k}"
+            out.append(" ".join(w))
+    return out
+
+
+def component_sets(texts, percent=85):
+    sets = shingle_sets(texts)
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                lo, hi = sorted((root[a], root[b]))
+                root = [lo if x == hi else x for x in root]
+    return root
+
+
+def test_near_duplicates_join_dense_groups(spark):
+    made = dense_groups(8, 48)
+    want = component_sets(made)
+    got = by_id(lsh_forest.near_duplicates(spark.createDataFrame([(i, t, "en", "s", 1, "x") for i, t in enumerate(made)], COLUMNS)).collect())
+    assert len(set(want)) == 7 and [got[i].component_id for i in range(len(made))] == want
+
+
 def test_near_duplicates_with_more_partitions_than_rows(spark):
     r = random.Random(3)
     plain = [[f"w{r.randrange(10**6)}" for _ in range(60)] for _ in range(8)]
@@ -221,7 +253,7 @@ def test_near_duplicates_with_more_partitions_than_rows(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "400")
     try:
         nodes = lsh_forest.signed(spark.createDataFrame(rows, COLUMNS)).select(F.col("doc_id").alias("node"), "signature")
-        pairs = {(x.a, x.b) for x in lsh_forest.candidates(nodes, 0.85).collect()}
+        pairs = {(x.a, x.b) for x in lsh_forest.candidates(lsh_forest.orders(nodes), 0.85).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert pairs == {(2 * i, 2 * i + 1) for i in range(8)}
