@@ -40,6 +40,8 @@ STEP = MINIMA // TREES
 REGION = 1024
 #: Regions in which every pair may be a candidate.
 SMALL = 24
+#: Nodes of a block: larger regions are compared block against block, each two blocks in a group of their own.
+BLOCK = 512
 #: Candidates of a node by agreement, and nodes with the most candidates that keep all of theirs, in a crowded region.
 BEST, HUBS = 3, 8
 _random = np.random.Generator(np.random.PCG64(20240607))
@@ -230,9 +232,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def agreeing(tree: int, sig: np.ndarray, root: np.ndarray, least: int):
-    """Each row of a region, sorted by root, with those rows after it of other roots that agree well and share no region of an earlier tree."""
-    n = len(sig)
+def agreeing(tree: int, sig: np.ndarray, root: np.ndarray, block: np.ndarray, least: int):
+    """Each row of a group, sorted by root, with those rows after it of other roots that agree well and share no region of an earlier tree. With two blocks, only rows of different blocks."""
+    n, two = len(sig), block.min() < block.max()
     ends = np.searchsorted(root, root, side="right")
     shifts = [(t - tree) * STEP % MINIMA for t in range(tree)]
     earlier = np.stack([np.ascontiguousarray(sig[:, k : k + DEPTH]).view(U64)[:, 0] for k in shifts], axis=1) if tree else np.zeros((n, 0), U64)
@@ -240,30 +242,32 @@ def agreeing(tree: int, sig: np.ndarray, root: np.ndarray, least: int):
         lo = int(ends[i])
         if lo == n:
             break
-        same = (sig[lo:] == sig[i]).view(U64).sum(axis=1)
-        j = lo + np.flatnonzero((same * U64(0x0101010101010101)) >> U64(56) >= least)
+        rest = lo + np.flatnonzero(block[lo:] != block[i]) if two else slice(lo, n)
+        same = (sig[rest] == sig[i]).view(U64).sum(axis=1)
+        j = np.flatnonzero((same * U64(0x0101010101010101)) >> U64(56) >= least)
+        j = rest[j] if two else lo + j
         if len(j):
             j = j[~(earlier[j] == earlier[i]).any(axis=1)]
         if len(j):
             yield i, j
 
 
-def open_nodes(tree: int, node: np.ndarray, sig: np.ndarray, root: np.ndarray, sets: None, least: int, percent: int) -> tuple[list, list]:
+def open_nodes(tree: int, node: np.ndarray, sig: np.ndarray, root: np.ndarray, block: np.ndarray, sets: None, least: int, percent: int) -> tuple[list, list]:
     """The tree and the node of all rows in pairs that may still join two components."""
     hit = np.zeros(len(node), bool)
-    for i, j in agreeing(tree, sig, root, least):
+    for i, j in agreeing(tree, sig, root, block, least):
         hit[i] = True
         hit[j] = True
     return [tree] * int(hit.sum()), node[hit].tolist()
 
 
-def joining_links(tree: int, node: np.ndarray, sig: np.ndarray, root: np.ndarray, sets: list[bytes], least: int, percent: int) -> tuple[list, list]:
+def joining_links(tree: int, node: np.ndarray, sig: np.ndarray, root: np.ndarray, block: np.ndarray, sets: list[bytes], least: int, percent: int) -> tuple[list, list]:
     """Confirmed links that join components: of all well-agreeing pairs whose roots differ, one way through each."""
     now, left, right = root.copy(), [], []
     size = np.array([len(s) for s in sets]) // 6
     values: dict[int, np.ndarray] = {}
     own = lambda i: values[i] if i in values else values.setdefault(i, unpacked(sets[i]))
-    for i, j in agreeing(tree, sig, root, least):
+    for i, j in agreeing(tree, sig, root, block, least):
         j = j[(now[j] != now[i]) & (100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i]))]
         x = own(i)
         for k in range(0, len(j), 64):
@@ -286,9 +290,10 @@ def in_regions(rows: DataFrame, work, names: tuple[str, str], similarity: float,
     """Distinct pairs of numbers that `work` finds among the rows (tree, order, node, root, perhaps set) of each region with more than one root."""
     least, parts = least_agreement(similarity), max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     region = F.substring("order", 1, 2 * DEPTH).alias("region")
-    mixed = rows.groupBy("tree", region).agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("tree", "region")
-    dealt = rows.withColumn("region", region).join(mixed, ["tree", "region"], "left_semi")
-    dealt = dealt.repartition(parts, "tree", "region").sortWithinPartitions("tree", "region", "root", "node")
+    mixed = rows.groupBy("tree", region).agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("n")).filter("r0 < r1").select("tree", "region", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    dealt = rows.withColumn("region", region).join(mixed, ["tree", "region"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("pair", F.least("block", "other") * F.col("blocks") + F.greatest("block", "other"))
+    dealt = dealt.repartition(parts, "tree", "region", "pair").sortWithinPartitions("tree", "region", "pair", "root", "node")
     has_sets = "set" in rows.columns
 
     def run(batches):
@@ -296,9 +301,9 @@ def in_regions(rows: DataFrame, work, names: tuple[str, str], similarity: float,
 
         def flush():
             if len(held) > 1:
-                _, order, node, root, sets = zip(*held, strict=True)
+                _, order, node, root, _, block, sets = zip(*held, strict=True)
                 sig = np.frombuffer(b"".join(order), ">u2").astype(np.uint16).reshape(-1, MINIMA)
-                a, b = work(key[0], np.array(node, np.int64), sig, np.array(root, np.int64), sets if has_sets else None, least, percent)
+                a, b = work(key[0], np.array(node, np.int64), sig, np.array(root, np.int64), np.array(block, np.int64), sets if has_sets else None, least, percent)
                 if a:
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], list(names))
             held.clear()
@@ -306,13 +311,13 @@ def in_regions(rows: DataFrame, work, names: tuple[str, str], similarity: float,
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             for row in zip(*columns, *[] if has_sets else [[None] * batch.num_rows], strict=True):
-                if (row[0], row[1][: 2 * DEPTH]) != key:
+                if (row[0], row[1][: 2 * DEPTH], row[4]) != key:
                     yield from flush()
-                    key = row[0], row[1][: 2 * DEPTH]
+                    key = row[0], row[1][: 2 * DEPTH], row[4]
                 held.append(row)
         yield from flush()
 
-    return dealt.select("tree", "order", "node", "root", *["set"] * has_sets).mapInArrow(run, f"{names[0]} long, {names[1]} long").distinct()
+    return dealt.select("tree", "order", "node", "root", "pair", "block", *["set"] * has_sets).mapInArrow(run, f"{names[0]} long, {names[1]} long").distinct()
 
 
 def left_apart(docs: DataFrame, rows: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:

@@ -245,6 +245,27 @@ def test_near_duplicates_join_dense_groups(spark):
     assert len(set(want)) == 7 and [got[i].component_id for i in range(len(made))] == want
 
 
+def test_every_pair_of_a_crowded_region_is_compared(spark):
+    """3,000 signatures of one region; those that agree well are far apart in every order."""
+    r = np.random.default_rng(11)
+    sig = r.integers(0, 1 << 16, (3000, lsh_forest.MINIMA)).astype(np.uint16)
+    for i in range(1500):
+        sig[i + 1500, 16:] = sig[i, 16:]
+    sig[:, : lsh_forest.DEPTH] = 7
+    sig[:, lsh_forest.DEPTH + 1 : 16] = 9
+    rows = [(0, sig[i].astype(">u2").tobytes(), i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "tree int, order binary, node long, root long")
+    least = lsh_forest.least_agreement(0.85)
+    pairs = [(i, int(j)) for i in range(3000) for j in i + 1 + np.flatnonzero((sig[i + 1 :] == sig[i]).sum(axis=1) >= least)]
+    sets = df.withColumn("set", F.expr("unhex(lpad(hex(node % 1500 + 1), 12, '0'))"))
+    got = lsh_forest.in_regions(sets, lsh_forest.joining_links, ("a", "b"), 0.85, 85).collect()
+    assert len(pairs) == 1500 and sorted((x.a, x.b) for x in got) == pairs
+    flagged = lsh_forest.in_regions(df, lsh_forest.open_nodes, ("tree", "node"), 0.85, 85)
+    assert flagged.count() == 3000
+    old = lsh_forest.pairs_in_regions(df.select("tree", "order", "node").coalesce(1).sortWithinPartitions("order", "node"), least)
+    assert old.select("a", "b").distinct().count() < 1500  # neighbours in the order alone are not all
+
+
 def test_near_duplicates_with_more_partitions_than_rows(spark):
     r = random.Random(3)
     plain = [[f"w{r.randrange(10**6)}" for _ in range(60)] for _ in range(8)]
