@@ -85,12 +85,12 @@ NOTICES: tuple[tuple[str, str, str, int, float], ...] = (
     ("bsd", "redistribution", "redistributions of source code must retain the above copyright notice", 6, 0.95),
     ("bsd", "redistribution", "redistributions in binary form must reproduce the above copyright notice", 6, 0.95),
     ("bsd", "endorse", "may be used to endorse or promote products derived from this software", 7, 0.9),
-    ("apache", "apache", "you may not use this file except in compliance with the license", 5, 0.97),
+    ("apache", "compliance", "you may not use this file except in compliance with the license", 5, 0.97),
     ("apache", "apache", "www apache org licenses license 2 0", 6, 0.97),
-    ("gpl", "free software", "this program is free software you can redistribute it and or modify it", 5, 0.99),
+    ("gpl", "redistribute", "this program is free software you can redistribute it and or modify it", 5, 0.99),
     ("gpl", "gnu", "you should have received a copy of the gnu general public license", 4, 0.99),
     ("lgpl", "gnu", "you should have received a copy of the gnu lesser general public license", 4, 0.99),
-    ("lgpl", "free software", "this library is free software you can redistribute it and or modify it", 5, 0.98),
+    ("lgpl", "redistribute", "this library is free software you can redistribute it and or modify it", 5, 0.98),
     ("agpl", "gnu", "you should have received a copy of the gnu affero general public license", 4, 0.99),
     ("mpl", "mozilla", "this source code form is subject to the terms of the mozilla public license", 4, 0.99),
     ("boost", "boost", "distributed under the boost software license", 5, 0.97),

@@ -186,6 +186,15 @@ def test_licenses(docs, texts, none):
     assert [x for x, *_ in inner] == ["cc-by-sa"]
 
 
+def test_wrapped_license_notices(spark):
+    notices = {f"This {kind} is free\n * software; you can redistribute it and/or modify it": label for kind, label in (("program", "gpl"), ("library", "lgpl"))}
+    rows = [(i, t, "en", "s", 1, "x") for i, t in enumerate(notices)]
+    got = by_id(license_rules.scan(spark.createDataFrame(rows, COLUMNS)).collect())
+    assert [got[i].labels for i in range(2)] == list(notices.values()) and all(got[i].score > 0.9 for i in range(2))
+    for _, keyword, phrase, *_ in license_rules.NOTICES:
+        assert any(keyword in w for w in phrase.split()), phrase
+
+
 def shingle_sets(texts):
     out = {}
     for i, t in enumerate(texts):
