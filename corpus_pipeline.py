@@ -46,7 +46,7 @@ def quality_rule_ledger(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = lsh_forest.near_duplicates(docs).filter("doc_id IS NOT NULL AND NOT kept").select("doc_id")
+    gone = lsh_forest.near_duplicates(docs, percent=80).filter("doc_id IS NOT NULL AND NOT kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]).dropDuplicates(["doc_id", "text"])
 
 

@@ -388,3 +388,15 @@ def test_pipeline_stages(spark, texts, tmp_path):
     assert sorted(left) == list(range(12)) and all(x.text.endswith("mail <EMAIL>") and x.n_chars == len(x.text) and x.kept == "clash" for x in left.values())
     packed = corpus_pipeline.best_fit_packing(spark, docs, str(tmp_path))
     assert packed.select("doc_id").distinct().count() == 12 and packed.filter(F.col("length") > 1024).count() == 0
+
+
+def test_pipeline_near_duplicates_from_four_fifths(spark, tmp_path):
+    import corpus_pipeline
+
+    w = [f"w{k}" for k in range(204)]
+    near = list(w)
+    for k in (30, 80, 130, 180):
+        near[k] = "changed"
+    assert 0.80 < len(shingle_sets([" ".join(w)])[0] & shingle_sets([" ".join(near)])[0]) / 220 < 0.85
+    docs = spark.createDataFrame([(0, " ".join(w), "en", "s", 1, "x"), (1, " ".join(near), "en", "s", 1, "x")], COLUMNS)
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()] == [0]
