@@ -8,9 +8,11 @@ digits, length, and the words around them. A dynamic programme of bounded
 entity length chooses boundaries and kinds of a window together. Parameters are
 fitted on generated sentences by exact likelihood, with a fixed seed.
 
-A segment without a digit or an at sign in any form can't be an entity, so that
-between windows the best path is `other` throughout: decoding windows one by
-one gives the decoding of the whole text, whatever its length.
+A segment with fewer than seven digits and no at sign in any form can't be an
+entity, so that between windows the best path is `other` throughout: decoding
+windows one by one gives the decoding of the whole text, whatever its length.
+One form opens no window of its own: a bare "at" whose only dot is a full stop
+before a space ("at noon. Then"), which ends a sentence.
 
 Spans are in code points, end exclusive. A null text counts as empty and has
 none. Repeated rows are scanned one by one. Spans of the model that touch a base
@@ -99,7 +101,11 @@ CUES = {
 }
 TRIGGER = np.zeros(256, bool)
 TRIGGER[0x30:0x3A] = TRIGGER[ord("@")] = True
-BRACKETED = re.compile(rb"[\[({<] ?(?:at|AT|At) ?[\])}>]")
+#: At signs written as words: in brackets, or bare with a host and a dot after them.
+SPOKEN = r"[\[({<] ?at ?[\])}>]| at (?= ?[A-Za-z0-9-]+(?: ?[\[({<] ?(?:dot|\.)| dot |\.[A-Za-z0-9-]))"
+BRACKETED = re.compile(SPOKEN.encode(), re.I)
+MARKS = re.compile(r"[0-9]{2,}|@|" + SPOKEN, re.I)
+DIGIT = re.compile("[0-9]")
 
 
 def iban_valid(text: str) -> bool:
@@ -285,7 +291,9 @@ def fitted(examples: int = 400, rounds: int = 4, seed: int = 7) -> SemiMarkov:
 
 def model_windows(text: str) -> list[tuple[int, int]]:
     """Windows outside of which no entity of the model can lie."""
-    marks = [m.start() for m in re.finditer(r"[0-9]{2,}|@|[\[({<] ?at ?[\])}>]", text, re.I)]
+    digits = [m.start() for m in DIGIT.finditer(text)]
+    spaced = [a for a, b in zip(digits, digits[6:], strict=False) if b - a < CHARS]
+    marks = sorted({*(m.start() for m in MARKS.finditer(text)), *spaced})
     out: list[list[int]] = []
     for m in marks:
         a, b = max(0, m - CHARS), min(len(text), m + CHARS)

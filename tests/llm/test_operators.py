@@ -173,6 +173,19 @@ def test_semi_markov_accuracy_on_held_out_sentences():
     assert sum(model.decode(t, 0, len(t)) == gold for t, gold in made) > 0.95 * len(made)
 
 
+def test_windows_find_what_the_whole_text_has(spark):
+    model, r = pii.fitted(), random.Random(98)
+    made = [pii.example(r) for _ in range(300)]
+    whole = [set(model.decode(t, 0, len(t))) for t, _ in made]
+    windows = [{s for a, b in pii.model_windows(t) for s in model.decode(t, a, b)} for t, _ in made]
+    assert windows == whole
+    texts = ["write to jane at example dot org", "call 2 6 9 5 5 5 3 2 9 6 now", *(t for t, _ in made)]
+    found = by_id(pii.find(spark.createDataFrame([(i, t, "en", "s", 1, "x") for i, t in enumerate(texts)], COLUMNS), "spans string", lambda t, base, spans: (",".join(f"{k}:{a}:{b}" for k, a, b in spans),)).collect())
+    assert found[0].spans == "email:9:32" and pii.model_windows(texts[1]) and not pii.model_windows("noon. Then 1 and 2")
+    gold = [",".join(f"{k}:{a}:{b}" for k, a, b in own) for _, own in made]
+    assert sum(found[i].spans == g for i, g in enumerate(gold, 2)) > 0.95 * len(made)
+
+
 def test_licenses(docs, texts, none):
     got = by_id(license_rules.scan(docs).collect())
     for i, t in enumerate(texts):
