@@ -36,10 +36,27 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(place))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Only where the setting is absent and everything runs in this one process is it a temporary folder of this machine's."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = f"file://{tempfile.gettempdir()}/tessera-checkpoints"
+    return folder.rstrip("/")
+
+
 def materialized(df: DataFrame, name: str = "stage") -> DataFrame:
-    """The rows from a Parquet table in the folder of spark.checkpoint.dir: computed once for all that read them, with a short plan, and safe from lost executors."""
+    """The rows from a Parquet table in the shared folder: computed once for all that read them, with a short plan, and safe from lost executors."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/tessera-checkpoints"
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a table made by materialized(), when nothing will read it again."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
