@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -10,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import ship
+from ..session import forget, shared_folder, ship
+from ..session import materialized as written
 from .textcore import Block, blocks
 
 #: Rows in an Arrow batch; with long texts the default of 10,000 would not be bounded enough.
@@ -48,31 +48,9 @@ def per_block(df: DataFrame, schema: str, work: Callable[[Block, pa.RecordBatch]
     return df.mapInArrow(run, schema)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of this machine's own only where the setting is absent, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        import tempfile
-
-        folder = f"file://{tempfile.gettempdir()}/tessera-checkpoints"
-    return folder.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df from a Parquet table in the shared folder: computed once, and still there if executors are lost."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(spark: SparkSession, df: DataFrame) -> None:
-    """Delete a table made by written(), when nothing will read it again."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def documents(df: DataFrame, *more: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The columns that an operator needs, and no others, so that no other name can clash."""
     return df.select(F.col(id), F.col(text).cast("string").alias(text), *more)
+
+
+__all__ = ["arrow_schema", "documents", "forget", "per_block", "shared_folder", "small_batches", "table", "written"]
