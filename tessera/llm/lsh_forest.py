@@ -16,26 +16,35 @@ region with nodes of several components compares all of their signatures, and
 each well-agreeing pair that could join two components is confirmed or refused
 on full sets. Components are computed over the confirmed links.
 
-Null texts and texts without words have an empty set: they are linked with
-nothing. Rows with equal texts are linked. A row without an id is linked like
-any other, but ids of components are those of other rows (null if there is
-none) and it isn't kept.
+Shingles are compared as hashes of 56 bits: sets are equal up to collisions of
+these (two sets of a thousand shingles share a false one with a chance of
+about 10 ** -11), nothing else is approximate about a confirmed link.
+
+Nodes have numbers of their own, so that ids may be anything. Null texts and
+texts without words have an empty set: they are linked with nothing. Rows with
+equal texts are linked. A row without an id is linked like any other and links
+others, but a component's id is the smallest of those there are (null if there
+is none), and the row isn't kept. Rows that repeat an id are rows of their own:
+each gets the component of its own text, and is kept if that component's id is
+its id. An empty table gives an empty result; columns other than doc_id and
+text aren't read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import documents, per_block, written
+from .frames import documents, forget, per_block, written
 from .textcore import U64, WORD, Block, mix
 
 WORDS = 5
 MINIMA, TREES, DEPTH = 128, 16, 4
 STEP = MINIMA // TREES
+# SMALL, BEST, HUBS and REGION only choose which pairs are confirmed first; left_apart() compares all the others.
 #: Signatures compared with one another at once; in crowded regions half of them stay for the next.
 REGION = 1024
 #: Regions in which every pair may be a candidate.
@@ -76,8 +85,13 @@ def signatures(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def located(docs: DataFrame) -> DataFrame:
+    """doc_id, text and at, a hash of both."""
+    return documents(docs, F.xxhash64("doc_id", "text").alias("at"))
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit key of the set, and the signature."""
+    """doc_id, a hash of the row that finds it again (at), n_shingles, a 128-bit key of the set, and the signature."""
 
     def work(block, rows):
         values, at = shingles(block)
@@ -89,9 +103,9 @@ def signed(docs: DataFrame) -> DataFrame:
             k2[full] = np.add.reduceat(mix(values ^ U64(0xA5A5A5A5A5A5A5A5)), at[:-1][full]).view(np.int64)
         data = signatures(values, at).tobytes()
         parts = iter(range(0, len(data), 2 * MINIMA))
-        return {"doc_id": rows.column(0), "n_shingles": n, "k1": k1, "k2": k2, "signature": pa.array([data[(p := next(parts)) : p + 2 * MINIMA] if x else None for x in full.tolist()], pa.binary())}
+        return {"doc_id": rows.column(0), "at": rows.column(2), "n_shingles": n, "k1": k1, "k2": k2, "signature": pa.array([data[(p := next(parts)) : p + 2 * MINIMA] if x else None for x in full.tolist()], pa.binary())}
 
-    return per_block(documents(docs), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, k1 long, k2 long, signature binary", work)
+    return per_block(located(docs), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, at long, n_shingles long, k1 long, k2 long, signature binary", work)
 
 
 def choose(names: np.ndarray, sig: np.ndarray, new: int, least: int) -> tuple[list, list, list]:
@@ -162,7 +176,7 @@ def orders(nodes: DataFrame) -> DataFrame:
     shared = trees.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     live = trees.join(shared, ["tree", "region"]).groupBy("node").agg(F.collect_list(F.struct("tree", "n")).alias("trees"))
     turned = F.concat(F.substring(F.col("signature"), F.col("tree") * (2 * STEP) + 1, F.lit(2 * MINIMA)), F.substring(F.col("signature"), F.lit(1), F.col("tree") * (2 * STEP)))
-    return written(nodes.join(live, "node").select("node", "signature", F.explode("trees").alias("t")).select("node", "signature", "t.tree", "t.n").select("tree", turned.alias("order"), "node", "n"), "orders")
+    return nodes.join(live, "node").select("node", "signature", F.explode("trees").alias("t")).select("node", "signature", "t.tree", "t.n").select("tree", turned.alias("order"), "node", "n")
 
 
 def candidates(rows: DataFrame, similarity: float) -> DataFrame:
@@ -176,38 +190,61 @@ def candidates(rows: DataFrame, similarity: float) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "agree").groupBy("a", "b").agg(F.max("agree").alias("agree"))
 
 
-#: Bits of the filter that tells which documents' sets are needed: its size is fixed, whatever their number.
-FILTER_BITS = 1 << 24
+#: Least and most bits of the filter that tells which rows' sets are needed. It has eight for each such row, up to 64 MB: with more rows it lets more others pass, which only costs time.
+FILTER_BITS = (1 << 20, 1 << 29)
+#: Bits of the filter that are built, and sent to the driver, as one value.
+CHUNK = 1 << 17
+
+
+def filter_of(wanted: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of the hashes in a column of whole numbers. Each chunk of it is built in one place and sent once."""
+    n = wanted.count()
+    bits = min(max(FILTER_BITS[0], 1 << (8 * n).bit_length()), FILTER_BITS[1])
+    place = wanted.select(F.col(column).bitwiseAND(F.lit(bits - 1)).alias("h")).distinct().withColumn("chunk", F.floor(F.col("h") / CHUNK))
+
+    def build(batches):
+        chunks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            h, chunk = (c.to_numpy() for c in batch.columns)
+            for k in np.unique(chunk).tolist():
+                own = chunks.setdefault(k, np.zeros(CHUNK, bool))
+                own[h[chunk == k] % CHUNK] = True
+            if len(chunks) > 64:
+                yield told(chunks)
+                chunks.clear()
+        yield told(chunks)
+
+    def told(chunks):
+        return pa.RecordBatch.from_arrays([pa.array(list(chunks), pa.int64()), pa.array([np.packbits(x, bitorder="little").tobytes() for x in chunks.values()], pa.binary())], ["chunk", "bits"])
+
+    out = np.zeros(bits // 8, np.uint8)
+    for row in place.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(build, "chunk long, bits binary").toLocalIterator():
+        first = row.chunk * (CHUNK // 8)
+        out[first : first + CHUNK // 8] |= np.frombuffer(row.bits, np.uint8)
+    return out
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, set) of the documents whose ids are in nodes (a column, node); a set has six bytes for each shingle."""
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    words = nodes.select(bit(F.col("node").cast("long")).alias("h")).groupBy((F.col("h") / 8).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1, cast(h % 8 AS int))")).alias("m")).collect()
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for w, m in words:
-        bits[w] = m
-    wanted = docs.sparkSession.sparkContext.broadcast(bits)
-    hashed = documents(docs, bit(F.col("doc_id").cast("long")).alias("h"))
+    """(node, set) of the rows that `nodes` (node, at) names; a set has eight bytes for each shingle, in order."""
+    found = filter_of(nodes, "at")
+    wanted = docs.sparkSession.sparkContext.broadcast(found)
+    last = np.int64(8 * len(found) - 1)
 
     def work(block, rows):
-        h = np.array(rows.column(2).to_numpy(zero_copy_only=False), np.int64)
-        hit = (wanted.value[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1
-        if not hit.any():
-            return {"node": pa.array([], pa.int64()), "set": pa.array([], pa.binary())}
+        h = np.array(rows.column(2).to_numpy(zero_copy_only=False), np.int64) & last
+        take = np.flatnonzero((wanted.value[h >> 3] >> (h & 7).astype(np.uint8)) & 1)
+        if not len(take):
+            return {"at": pa.array([], pa.int64()), "set": pa.array([], pa.binary())}
         values, at = shingles(block)
-        packed = np.ascontiguousarray((values >> U64(8)).astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-        take = np.flatnonzero(hit)
-        return {"node": rows.column(0).cast(pa.int64()).take(take), "set": pa.array([packed[6 * at[i] : 6 * at[i + 1]] for i in take.tolist()], pa.binary())}
+        packed = values.astype("<u8").tobytes()
+        return {"at": rows.column(2).take(take), "set": pa.array([packed[8 * at[i] : 8 * at[i + 1]] for i in take.tolist()], pa.binary())}
 
-    found = per_block(hashed, "node long, set binary", work)
-    return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    made = per_block(located(docs), "at long, set binary", work)
+    return made.join(nodes, "at").select("node", "set").dropDuplicates(["node"])
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    raw = np.zeros((len(data) // 6, 8), np.uint8)
-    raw[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return raw.view("<u8").ravel()
+    return np.frombuffer(data, "<u8")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -264,9 +301,8 @@ def open_nodes(tree: int, node: np.ndarray, sig: np.ndarray, root: np.ndarray, b
 def joining_links(tree: int, node: np.ndarray, sig: np.ndarray, root: np.ndarray, block: np.ndarray, sets: list[bytes], least: int, percent: int) -> tuple[list, list]:
     """Confirmed links that join components: of all well-agreeing pairs whose roots differ, one way through each."""
     now, left, right = root.copy(), [], []
-    size = np.array([len(s) for s in sets]) // 6
-    values: dict[int, np.ndarray] = {}
-    own = lambda i: values[i] if i in values else values.setdefault(i, unpacked(sets[i]))
+    size = np.array([len(s) for s in sets]) // 8
+    own = lambda i: unpacked(sets[i])
     for i, j in agreeing(tree, sig, root, block, least):
         j = j[(now[j] != now[i]) & (100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i]))]
         x = own(i)
@@ -320,44 +356,61 @@ def in_regions(rows: DataFrame, work, names: tuple[str, str], similarity: float,
     return dealt.select("tree", "order", "node", "root", "pair", "block", *["set"] * has_sets).mapInArrow(run, f"{names[0]} long, {names[1]} long").distinct()
 
 
-def left_apart(docs: DataFrame, rows: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+def left_apart(docs: DataFrame, rows: DataFrame, roots: DataFrame, sets: DataFrame, places: DataFrame, percent: int) -> DataFrame | None:
     """Links (a, b) that join components, from all well-agreeing pairs in a shared region whose nodes' roots differ."""
     placed = rows.join(roots, "node", "left").select("tree", "order", "node", F.coalesce("component", "node").alias("root"))
     flagged = written(in_regions(placed, open_nodes, ("tree", "node"), percent / 100, percent), "open")
     if flagged.isEmpty():
         return None
-    lacking = written(flagged.select("node").distinct().join(sets, "node", "left_anti"), "lacking")
+    lacking = written(flagged.select("node").distinct().join(sets, "node", "left_anti").join(places, "node"), "lacking")
     if not lacking.isEmpty():
         sets = sets.union(sets_of(docs, lacking))
     chosen = placed.join(flagged.withColumn("tree", F.col("tree").cast("int")), ["tree", "node"], "left_semi").join(sets, "node").select("tree", "order", "node", "root", "set")
     return written(in_regions(chosen, joining_links, ("a", "b"), percent / 100, percent), "joining")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every document."""
-    small = written(signed(docs), "signatures")
-    groups = small.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("own"), F.first("signature").alias("signature"))
-    nodes = written(groups.select("k1", "k2", F.coalesce(F.col("own").cast("long"), -F.abs(F.col("k1"))).alias("node"), F.col("own").isNotNull().alias("named"), "signature"), "nodes")
-    rows = orders(nodes.filter("named").select("node", "signature"))
-    pairs = written(candidates(rows, percent / 100), "candidates")
-    sets = written(sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
+def linked(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of nodes (node, at, signature) that are linked with others."""
+    places, held = nodes.select("node", "at"), []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        held.append(written(df, name))
+        return held[-1]
+
+    rows = keep(orders(nodes.select("node", "signature")), "orders")
+    pairs = keep(candidates(rows, percent / 100), "candidates")
+    sets = keep(sets_of(docs, keep(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(places, "node"), "wanted")), "sets")
     # Each node's best candidate comes first; the others only where it leaves nodes apart.
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "agree")
     best = ends.groupBy("node").agg(F.max(F.struct("agree", -F.col("a"), -F.col("b"))).alias("m")).select((-F.col("m.col2")).alias("a"), (-F.col("m.col3")).alias("b")).distinct()
-    best = written(best, "best")
-    links = written(confirmed(best, sets, percent), "confirmed")
+    best = keep(best, "best")
+    links = keep(confirmed(best, sets, percent), "confirmed")
     roots = components(links)
     root = lambda side: roots.select(F.col("node").alias(side), F.col("component").alias(f"root_{side}"))
     apart = pairs.select("a", "b").join(root("a"), "a", "left").join(root("b"), "b", "left").filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
-    more = written(confirmed(apart, sets, percent), "confirmed")
+    more = keep(confirmed(apart, sets, percent), "confirmed")
     if not more.isEmpty():
         links = links.union(more)
         roots = components(links)
     # What was not a candidate so far is compared where its nodes are still apart.
-    rest = left_apart(docs, rows, roots, sets, percent)
+    rest = left_apart(docs, rows, roots, sets, places, percent)
     if rest is not None and not rest.isEmpty():
         roots = components(links.union(rest))
-    named = nodes.join(roots, "node", "left").select("k1", "k2", F.when(F.col("named"), F.coalesce("component", "node")).alias("component"))
+    for df in held:
+        forget(df)
+    return roots
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every document."""
+    small = written(signed(docs), "signatures")
+    groups = small.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("own"), F.min("at").alias("at"), F.first("signature").alias("signature"))
+    # The numbers are fixed by being written.
+    nodes = written(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    roots = linked(docs, nodes.select("node", "at", "signature"), percent)
+    named = nodes.select("k1", "k2", "node", "own").join(roots, "node", "left")
+    ids = named.filter("component IS NOT NULL").groupBy("component").agg(F.min("own").alias("least"))
+    named = named.join(ids, "component", "left").select("k1", "k2", F.when(F.col("component").isNull(), F.col("own")).otherwise(F.col("least")).alias("component"))
     joined = small.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
     out = joined.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
