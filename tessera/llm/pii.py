@@ -11,12 +11,13 @@ fitted on generated sentences by exact likelihood, with a fixed seed.
 A segment with fewer than seven digits and no at sign in any form can't be an
 entity, so that between windows the best path is `other` throughout: decoding
 windows one by one gives the decoding of the whole text, whatever its length.
-One form opens no window of its own: a bare "at" whose only dot is a full stop
-before a space ("at noon. Then"), which ends a sentence.
 
 Spans are in code points, end exclusive. A null text counts as empty and has
-none. Repeated rows are scanned one by one. Spans of the model that touch a base
-span are dropped; base spans always stay.
+none. Repeated rows are scanned one by one; an empty table gives an empty
+result; only doc_id, text and the columns to carry are read, so that other
+names can't clash. Of segmentations with equal scores the one with fewer
+entities stands, then the one whose last entity begins first. Spans of the
+model that touch a base span are dropped; base spans always stay.
 """
 
 from __future__ import annotations
@@ -89,8 +90,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 ATOM = re.compile(r"[^\W\d_]+|[0-9]+|[^\S\n]+|.", re.S)
 #: Written-out forms of the at sign and of dots.
-AT = re.compile(r"[\[({<] ?at ?[\])}>]|@| at ", re.I)
-WRITTEN = re.compile(r"[A-Za-z0-9._%+-]+ ?(?:[\[({<] ?(?:at|@) ?[\])}>]| at |@) ?[A-Za-z0-9-]+(?: ?(?:[\[({<] ?(?:dot|\.) ?[\])}>]| dot |\.) ?[A-Za-z0-9-]+)+", re.I)
+AT = re.compile(r"[\[({<] ?at ?[\])}>]|@| at ", re.I | re.A)
+WRITTEN = re.compile(r"[A-Za-z0-9._%+-]+ ?(?:[\[({<] ?(?:at|@) ?[\])}>]| at |@) ?[A-Za-z0-9-]+(?: ?(?:[\[({<] ?(?:dot|\.) ?[\])}>]| dot |\.) ?[A-Za-z0-9-]+)+", re.I | re.A)
 CUES = {
     "email": {"mail", "email", "contact", "write", "address"},
     "ip": {"ip", "host", "server", "address", "client", "from"},
@@ -101,10 +102,10 @@ CUES = {
 }
 TRIGGER = np.zeros(256, bool)
 TRIGGER[0x30:0x3A] = TRIGGER[ord("@")] = True
-#: At signs written as words: in brackets, or bare with a host and a dot after them.
-SPOKEN = r"[\[({<] ?at ?[\])}>]| at (?= ?[A-Za-z0-9-]+(?: ?[\[({<] ?(?:dot|\.)| dot |\.[A-Za-z0-9-]))"
+#: At signs written as words: in brackets, or bare with what an address must have after them.
+SPOKEN = r"[\[({<] ?at ?[\])}>]| at (?= ?[A-Za-z0-9-]+ ?(?:[\[({<] ?(?:dot|\.) ?[\])}>]| dot |\.) ?[A-Za-z0-9-])"
 BRACKETED = re.compile(SPOKEN.encode(), re.I)
-MARKS = re.compile(r"[0-9]{2,}|@|" + SPOKEN, re.I)
+MARKS = re.compile(r"[0-9]{2,}|@|" + SPOKEN, re.I | re.A)
 DIGIT = re.compile("[0-9]")
 
 
