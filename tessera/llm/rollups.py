@@ -6,20 +6,31 @@ has for the document; a revision does both. Signed rows are summed per group
 before they are shuffled, and only these small sums are kept beside the ledger.
 Totals are the sum of the deltas of all batches that are committed.
 
-A batch is committed by creating a marker file that names its data, which only
-one attempt can do. A batch that is committed already changes nothing; data of
-attempts that failed have no marker and are never read.
+Commits form a log of numbered marker files. A commit reads the log, computes
+its signed rows from the state there, and then puts the next marker in place,
+which only one writer can do. One that comes too late, since another batch took
+the number, computes its rows again from the new state: no delta ever stands on
+a stale one. A batch whose name is in the log changes nothing; data of attempts
+that failed have no marker, are never read, and are deleted by the attempt that
+lost.
+
+Every `every` commits the state is written as a whole: the ledger's last row of
+each document and the totals. A commit reads the last state and the ledgers
+since, so that its cost doesn't grow with the number of batches before.
 
 Events of one batch about the same document and tokenizer are taken together:
-the last by `seq` counts. Deleting or revising a document that is not there
-counts as nothing or as an insert. Inserting one that is there counts as a
-revision. A null count is 0; null sources and languages are groups of their own.
-Events without an id are left out.
+the last by `seq` counts, of equals the largest by operation, count, source and
+language. Deleting or revising a document that is not there counts as nothing or
+as an insert. Inserting one that is there counts as a revision. A null count is
+0; null sources and languages are groups of their own. Events without an id are
+left out. An empty batch is committed and changes nothing; a rollup without
+batches has no totals. Texts are counted whole. Other columns aren't read.
 """
 
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,66 +41,92 @@ LEDGER = "doc_id long, tokenizer string, source string, lang string, n_tokens lo
 DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
 
+@dataclass(frozen=True)
+class Commit:
+    seq: int
+    batch: str
+    #: The name of its ledger and delta, and of the state that was written with it, if one was.
+    data: str
+    state: str
+
+
 class Rollup:
     """Totals in a folder that all executors share."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, every: int = 16):
+        self.spark, self.folder, self.every = spark, folder.rstrip("/"), every
         path = spark._jvm.org.apache.hadoop.fs.Path
         self.path = lambda *parts: path("/".join((self.folder, *parts)))
         self.fs = self.path("x").getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def commits(self) -> dict[str, tuple[int, str]]:
-        """Committed batches: their place in order and the name of their data."""
+    def log(self) -> list[Commit]:
+        """All commits, in order."""
         place = self.path("commits")
         if not self.fs.exists(place):
-            return {}
-        names = [f.getPath().getName() for f in self.fs.listStatus(place)]
-        found = (n.split("~") for n in names if n.count("~") == 1)
-        out = {}
-        for batch, _ in found:
-            stream = self.fs.open(self.path("commits", f"{batch}~commit"))
+            return []
+        out = []
+        for name in sorted(f.getPath().getName() for f in self.fs.listStatus(place)):
+            stream = self.fs.open(self.path("commits", name))
             try:
-                seq, data = stream.readUTF().split(" ")
+                batch, data, state = stream.readUTF().split(" ")
             finally:
                 stream.close()
-            out[bytes.fromhex(batch).decode()] = (int(seq), data)
+            out.append(Commit(int(name), bytes.fromhex(batch).decode(), data, state.strip("-")))
         return out
 
-    def _read(self, kind: str, schema: str, commits: dict) -> DataFrame:
-        paths = [f"{self.folder}/{kind}/{data}" for _, data in commits.values()]
+    def _since(self, log: list[Commit], kind: str, schema: str) -> DataFrame:
+        """Rows of a kind from the last whole state and all commits after it."""
+        last = max((i for i, c in enumerate(log) if c.state), default=-1)
+        paths = [f"{self.folder}/{kind}/{c.data}" for c in log[last + 1 :]] + ([f"{self.folder}/{kind}/{log[last].state}"] if last >= 0 else [])
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def commit(self, batch: str, events: DataFrame) -> bool:
         """Apply (doc_id, tokenizer, source, lang, op, n_tokens[, seq]); False if the batch was committed before."""
-        done = self.commits()
-        if batch in done:
-            return False
-        seq = 1 + max([s for s, _ in done.values()], default=0)
         order = F.col("seq") if "seq" in events.columns else F.lit(0)
-        new = events.filter("doc_id IS NOT NULL").groupBy("doc_id", "tokenizer").agg(F.max_by(F.struct("source", "lang", "op", F.coalesce(F.col("n_tokens"), F.lit(0)).cast("long").alias("n_tokens")), F.struct(order, "op", "n_tokens", "source", "lang")).alias("e")).select(F.col("doc_id").cast("long").alias("doc_id"), "tokenizer", "e.*")
-        name = uuid.uuid4().hex
-        ledger = f"{self.folder}/ledger/{name}"
-        if done:
-            last = self._read("ledger", LEDGER, done).groupBy("doc_id", "tokenizer").agg(F.max_by(F.struct("source", "lang", "n_tokens"), "seq").alias("o"))
-            rows = new.join(last, ["doc_id", "tokenizer"], "left")
+        event = F.struct("source", "lang", "op", F.coalesce(F.col("n_tokens"), F.lit(0)).cast("long").alias("n_tokens"))
+        last = F.max_by(event, F.struct(order, "op", "n_tokens", "source", "lang")).alias("e")
+        new = events.filter("doc_id IS NOT NULL").groupBy("doc_id", "tokenizer").agg(last).select(F.col("doc_id").cast("long").alias("doc_id"), "tokenizer", "e.*")
+        while True:
+            log = self.log()
+            if any(c.batch == batch for c in log):
+                return False
+            made = self._write(batch, new, log)
+            if self._mark(made):
+                return True
+            for name in filter(None, (made.data, made.state)):
+                for kind in ("ledger", "deltas"):
+                    self.fs.delete(self.path(kind, name), True)
+
+    def _write(self, batch: str, new: DataFrame, log: list[Commit]) -> Commit:
+        """The ledger rows and the delta of a batch on top of the log's state."""
+        seq, name = len(log) + 1, uuid.uuid4().hex
+        if log:
+            now = self._since(log, "ledger", LEDGER).groupBy("doc_id", "tokenizer").agg(F.max_by(F.struct("source", "lang", "n_tokens"), "seq").alias("o"))
+            rows = new.join(now, ["doc_id", "tokenizer"], "left")
         else:
             rows = new.withColumn("o", F.lit(None).cast("struct<source:string,lang:string,n_tokens:long>"))
         # A ledger row with a null count stands for a document that was deleted.
-        kept = F.col("op") != "delete"
-        changed = rows.select("doc_id", "tokenizer", "source", "lang", F.when(kept, F.col("n_tokens")).alias("n_tokens"), F.lit(seq).cast("long").alias("seq"), F.when(F.col("o.n_tokens").isNotNull(), F.col("o")).alias("old"))
-        changed.write.parquet(ledger)
-        own = self.spark.read.parquet(ledger)
+        count = F.when(F.col("op") != "delete", F.col("n_tokens")).alias("n_tokens")
+        old = F.when(F.col("o.n_tokens").isNotNull(), F.col("o")).alias("old")
+        rows.select("doc_id", "tokenizer", "source", "lang", count, F.lit(seq).cast("long").alias("seq"), old).write.parquet(f"{self.folder}/ledger/{name}")
+        own = self.spark.read.parquet(f"{self.folder}/ledger/{name}")
         plus = own.filter("n_tokens IS NOT NULL").select(*KEYS, F.lit(1).alias("n_docs"), "n_tokens")
         minus = own.filter("old IS NOT NULL").select("old.source", "old.lang", "tokenizer", F.lit(-1).alias("n_docs"), (-F.col("old.n_tokens")).alias("n_tokens"))
-        plus.union(minus).groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.parquet(f"{self.folder}/deltas/{name}")
-        return self._mark(batch, f"{seq} {name}")
-
-    def _mark(self, batch: str, text: str) -> bool:
-        """Put a whole marker file in place, unless there is one."""
-        marker, draft = self.path("commits", f"{batch.encode().hex()}~commit"), self.path("drafts", uuid.uuid4().hex)
+        summed(plus.union(minus)).write.parquet(f"{self.folder}/deltas/{name}")
+        state = ""
+        if seq % self.every == 0:
+            state, whole = uuid.uuid4().hex, [*log, Commit(seq, batch, name, "")]
+            rest = ("source", "lang", "n_tokens", "seq")
+            ledger = self._since(whole, "ledger", LEDGER).groupBy("doc_id", "tokenizer").agg(F.max_by(F.struct(*rest), "seq").alias("x"))
+            ledger.select("doc_id", "tokenizer", "x.*").filter("n_tokens IS NOT NULL").write.parquet(f"{self.folder}/ledger/{state}")
+            summed(self._since(whole, "deltas", DELTA)).write.parquet(f"{self.folder}/deltas/{state}")
+        return Commit(seq, batch, name, state)
+
+    def _mark(self, made: Commit) -> bool:
+        """Put a whole marker file in place, unless its number is taken."""
+        marker, draft = self.path("commits", f"{made.seq:012d}"), self.path("drafts", uuid.uuid4().hex)
         stream = self.fs.create(draft, False)
-        stream.writeUTF(text)
+        stream.writeUTF(f"{made.batch.encode().hex()} {made.data} {made.state or '-'}")
         stream.close()
         self.fs.mkdirs(self.path("commits"))
         jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
@@ -100,13 +137,18 @@ class Rollup:
             jvm.org.apache.hadoop.fs.FileContext.getFileContext(marker.toUri(), self.spark._jsc.hadoopConfiguration()).rename(draft, marker, options)
         except Exception:
             if self.fs.exists(marker):
-                return False  # another attempt was first
+                self.fs.delete(draft, False)
+                return False  # another batch has the number
             raise
         return True
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens; groups without documents are left out."""
-        return self._read("deltas", DELTA, self.commits()).groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).filter("n_docs <> 0 OR n_tokens <> 0")
+        return summed(self._since(self.log(), "deltas", DELTA)).filter("n_docs <> 0 OR n_tokens <> 0")
+
+
+def summed(deltas: DataFrame) -> DataFrame:
+    return deltas.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
 
 #: Tokenizer versions that SQL can count: words between ASCII white space, and runs of letters, digits and non-ASCII characters.
