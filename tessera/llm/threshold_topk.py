@@ -2,20 +2,30 @@
 
 Each dimension has a list of the candidates sorted by that component; a query
 reads it from the top where its own component is positive and from the bottom
-where it is negative. Sorted access goes to depths that double; whatever is
-seen is scored in full by random access. The components at the present depth
-bound the score of everything unseen, and a query stops as soon as that bound
-is below its kth score: a later candidate could not even tie.
+where it is negative. Sorted access goes down by steps that grow by a quarter;
+whatever is seen is scored in full by random access. The components at the
+present depth bound the score of everything unseen, and a query stops as soon
+as that bound is below its kth score: a later candidate could not even tie.
 
 Queries and candidates are dealt out in blocks. A task has one block of each,
 with its own lists, and returns each query's best there; the best of all blocks
-are merged. Candidates of a block are read together by the block's queries, so
-that random access is a matrix product.
+are merged. The queries of a block that are still open read together, so that
+random access is a matrix product; one that has stopped reads no more.
+
+Whole numbers that fit into two or four bytes are sent so. Every block of
+candidates meets every block of queries, as an exact search of a query set
+against all rows must; blocks of queries are large, so that a candidate is sent
+once for each QUERIES queries. What the bound saves depends on the vectors: it
+stops early where few components carry the score, and not at all where many
+dimensions count alike.
 
 Vectors that are null, or hold null or non-finite components, and rows without
-an id take no part; vectors of different lengths don't meet. A query's own row
-is the one with its id. Of equal scores the smaller id comes first. Scores
-outside the range of a long are cut to it.
+an id take no part; vectors of different lengths don't meet. Rows that repeat an
+id are rows of their own as candidates; as queries they are one query, whose
+result has the best of all its pairs, and none of them is a candidate for it. Of
+equal scores the smaller id comes first. Scores outside the range of a long are
+cut to it. Without rows or without queries the result is empty. Only the id and
+the vector are read.
 """
 
 from __future__ import annotations
@@ -28,7 +38,9 @@ from pyspark.sql import functions as F
 from .frames import small_batches, written
 
 #: Candidates and queries in a block, on average.
-CANDIDATES, QUERIES = 4096, 2048
+CANDIDATES, QUERIES = 4096, 8192
+#: Factor by which the depth of sorted access grows.
+STEP = 1.25
 LONG = (1 << 63) - 1
 
 
@@ -47,11 +59,27 @@ def scaled(rows: DataFrame, id: str, vector: str, factor: float) -> DataFrame:
                 if len(a) and np.isfinite(a).all():
                     ids.append(key)
                     out.append(np.clip(a, -(2.0**62), 2.0**62).astype("<i8"))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(a) for a in out], pa.int32()), pa.array([a.tobytes() for a in out], pa.binary())], ["id", "dim", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(a) for a in out], pa.int32()), pa.array([narrow(a) for a in out], pa.binary())], ["id", "dim", "v"])
 
     return rows.select(F.col(id).cast("long").alias("id"), F.col(vector)).mapInArrow(run, "id long, dim int, v binary")
 
 
+def narrow(a: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as hold them."""
+    most = int(np.abs(a).max())
+    return a.astype("<i2" if most < 1 << 15 else "<i4" if most < 1 << 31 else "<i8").tobytes()
+
+
+def wide(parts: list[bytes], dim: int) -> np.ndarray:
+    """Vectors of narrow() as one matrix."""
+    out = np.empty((len(parts), dim), np.int64)
+    size = np.array([len(p) for p in parts]) // dim
+    for n in np.unique(size).tolist():
+        at = np.flatnonzero(size == n)
+        out[at] = np.frombuffer(b"".join([parts[i] for i in at.tolist()]), f"<i{n}").reshape(-1, dim)
+    return out
+
+
 def best_of(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple[list[np.ndarray], list[np.ndarray], int]:
     """For each query, ids and scores of its k best vectors (ids ascending in `ids`), and how many scores were computed."""
     m, dim = vectors.shape
@@ -65,9 +93,9 @@ def best_of(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.n
     best = np.full((len(q), k), none)  # score and place in one number: larger is better, then the smaller place
     active, seen, depth, scored = np.arange(len(q)), np.zeros(m, bool), 0, 0
     column = np.arange(dim)
-    at_own = np.searchsorted(ids, own)
+    own_from, own_to = np.searchsorted(ids, own), np.searchsorted(ids, own, side="right")
     while len(active) and depth < m:
-        depth = min(m, max(1, 2 * depth))
+        depth = min(m, max(k, int(STEP * depth) + 1))
         new = np.zeros(m, bool)
         top, bottom = (up[active] > 0).any(axis=0), (down[active] < 0).any(axis=0)
         new[rank[m - depth :, top].ravel()] = True
@@ -81,9 +109,8 @@ def best_of(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.n
             score = (q[some] @ x[new].T).astype(np.int64)
             scored += score.size
             key = (score << bits) | (m - 1 - new)
-            mine = at_own[some]
-            for i in np.flatnonzero((mine < m) & (ids[np.minimum(mine, m - 1)] == own[some])).tolist():
-                key[i, new == mine[i]] = none
+            for i in np.flatnonzero(own_from[some] < own_to[some]).tolist():  # rows with the query's own id
+                key[i, (new >= own_from[some[i]]) & (new < own_to[some[i]])] = none
             both = np.concatenate((best[some], key), axis=1)
             best[some] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
         limit = up[active] @ x[rank[m - depth, column], column] + down[active] @ x[rank[depth - 1, column], column]
@@ -127,7 +154,7 @@ def top_k(rows: DataFrame, is_query, k: int = 20, id: str = "vec_id", vector: st
             nonlocal held
             (ci, cv), (qi, qv) = held[0], held[1]
             if ci and qi:
-                ids, scores, _ = best_of(np.frombuffer(b"".join(qv), "<i8").reshape(len(qi), -1), np.array(qi), np.frombuffer(b"".join(cv), "<i8").reshape(len(ci), -1), np.array(ci), k)
+                ids, scores, _ = best_of(wide(qv, key[2]), np.array(qi), wide(cv, key[2]), np.array(ci), k)
                 yield pa.RecordBatch.from_arrays([pa.array(qi, pa.int64()), pa.array([x.tolist() for x in ids], pa.list_(pa.int64())), pa.array([x.tolist() for x in scores], pa.list_(pa.int64()))], ["query_id", "ids", "scores"])
             held = {0: ([], []), 1: ([], [])}
 
