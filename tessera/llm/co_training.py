@@ -7,16 +7,24 @@ labels those unlabelled documents that it is surest of, in both classes, for
 the other to learn from. Calibrated on labels that neither has seen, the two
 are combined, and every document is scored on its whole text.
 
-Fitting uses a bounded sample: the POOL documents whose hashed ids are
-smallest, with labels where there are any. Scoring reads all documents.
-
-Null texts are empty; null metadata are values of their own. Without labels of
-both classes the score is the share of good ones (0.5 without any label) and
-nothing is rejected. Rows keep their number; repeated rows get equal scores.
+Fitting uses a bounded sample: of the documents labelled good, of those labelled
+bad and of those without a label, up to POOL each, by the hash of their ids. A
+third of a class is never crowded out by another, however few labels there are.
+Scoring reads all documents.
+
+Null texts are empty; null metadata, and metadata columns that aren't there, are
+values of their own. A document whose labels conflict counts as unlabelled; of
+rows that repeat an id one is in the sample, the least by the hash of its text.
+Without five labels of each class the score is the share of good ones (0.5
+without any label), nothing is rejected, and a warning says so. Rows keep their
+number, empty tables give empty results, and repeated rows get equal scores.
+Texts are read whole. Columns of the documents stay; where one has the name of a
+result, the result's name gets an underscore.
 """
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from dataclasses import dataclass, field
 
@@ -28,8 +36,8 @@ from pyspark.sql import functions as F
 from .frames import arrow_schema, small_batches
 from .textcore import U64, WORD, blocks, mix, windows
 
-#: Documents in the sample that the classifiers are fitted on.
-POOL = 6000
+#: Most documents of each class, and without a class, in the sample that the classifiers are fitted on.
+POOL = 2000
 #: Buckets of hashed words; slots of hashed metadata values.
 BUCKETS, SLOTS = 256, 48
 ROUNDS, SURE, PER_ROUND = 5, 0.97, 200
@@ -159,46 +167,63 @@ def platt(score: np.ndarray, label: np.ndarray) -> np.ndarray:
     return logistic(np.stack([score, np.ones(len(score))], axis=1), soft, np.ones(len(score)), 0.01)
 
 
+METADATA = {"source": "string", "lang": "string", "n_chars": "long"}
+
+
+def metadata(docs: DataFrame) -> list:
+    """The metadata columns, null where the documents have none of the name."""
+    return [F.col(c).cast(t).alias(c) if c in docs.columns else F.lit(None).cast(t).alias(c) for c, t in METADATA.items()]
+
+
 def fit(docs: DataFrame, labels: DataFrame, pool: int = POOL) -> Model:
-    """Fit on a sample of at most `pool` documents."""
+    """Fit on a sample of at most `pool` documents of each class and `pool` without a label."""
     small_batches(docs.sparkSession)
-    ids = docs.filter("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(pool)
-    known = labels.filter("quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("q"))
-    chosen = known.join(F.broadcast(ids), "doc_id", "right").groupBy("doc_id").agg(F.coalesce(F.max("q"), F.lit(-1)).alias("label"))
-    rows = docs.select("doc_id", "text", "source", "lang", "n_chars").join(F.broadcast(chosen.limit(pool)), "doc_id")
+    told = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi"))
+    known = told.select("doc_id", F.when(F.col("lo") == F.col("hi"), F.col("hi").cast("int")).otherwise(-1).alias("label"))
+    ids = docs.filter("doc_id IS NOT NULL").select("doc_id").distinct().join(known, "doc_id", "left").fillna(-1, ["label"])
+    first = lambda c: ids.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(pool)
+    chosen = first(0).union(first(1)).union(first(-1))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), *metadata(docs)).join(F.broadcast(chosen), "doc_id")
+    rows = rows.withColumn("h", F.xxhash64("text", *METADATA))
 
     def run(batches):
         for batch in batches:
             t = text_view(batch.column(1)).astype(np.float32)
             p = page_view(*(batch.column(i).to_pylist() for i in (2, 3, 4))).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(5), pa.array([x.tobytes() for x in t], pa.binary()), pa.array([x.tobytes() for x in p], pa.binary())], ["doc_id", "label", "t", "p"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(5), batch.column(6), pa.array([x.tobytes() for x in t], pa.binary()), pa.array([x.tobytes() for x in p], pa.binary())], ["doc_id", "label", "h", "t", "p"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = sorted(rows.mapInArrow(run, f"doc_id {kind}, label int, t binary, p binary").limit(2 * pool).collect(), key=lambda r: (r.doc_id, r.t))
-    seen = {}
-    for r in found:
-        seen.setdefault(r.doc_id, r)
-    found = list(seen.values())
+    seen = rows.mapInArrow(run, f"doc_id {kind}, label int, h long, t binary, p binary").groupBy("doc_id", "label").agg(F.min_by(F.struct("t", "p"), "h").alias("x")).select("doc_id", "label", "x.*")
+    found = seen.orderBy("doc_id").limit(3 * pool).collect()
     stack = lambda c, n: np.stack([np.frombuffer(r[c], np.float32) for r in found]).astype(float) if found else np.zeros((0, n))
-    return train(stack("t", DENSE + BUCKETS), stack("p", SLOTS + 1), np.array([r.label for r in found], np.int64))
+    model = train(stack("t", DENSE + BUCKETS), stack("p", SLOTS + 1), np.array([r.label for r in found], np.int64))
+    if not model.usable:
+        warnings.warn("co-training: fewer than five labels of a class; every document is kept", stacklevel=2)
+    return model
 
 
 NAMES = ("p_text", "p_page", "score", "kept")
 
 
 def score(docs: DataFrame, model: Model, reject: float = REJECT, names: tuple[str, str, str, str] = NAMES) -> DataFrame:
-    """All columns of docs, with both views' probabilities, the score and whether the document is kept (replacing columns of these names)."""
+    """All columns of docs, with both views' probabilities, the score and whether the document is kept."""
     small_batches(docs.sparkSession)
-    taken = docs.drop(*names)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in taken.schema), *(f"`{n}` {t}" for n, t in zip(names, ("double", "double", "double", "boolean"), strict=True))])
+    there = set(docs.columns)
+    for n in names:
+        while n in there:
+            n += "_"
+        there.add(n)
+    own = [n for n in there if n not in docs.columns]
+    names = [next(x for x in own if x.rstrip("_") == n.rstrip("_")) for n in names]
+    place = [docs.columns.index("text"), *(docs.columns.index(c) if c in docs.columns else None for c in METADATA)]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"`{n}` {t}" for n, t in zip(names, ("double", "double", "double", "boolean"), strict=True))])
     out = arrow_schema(schema)
-    place = [taken.columns.index(c) for c in ("text", "source", "lang", "n_chars")]
 
     def run(batches):
         for batch in batches:
-            text, *page = (batch.column(i) for i in place)
+            text, *page = (pa.nulls(batch.num_rows) if i is None else batch.column(i) for i in place)
             a, b, s = model.probabilities(text_view(text), page_view(*(c.to_pylist() for c in page)))
             keep = s >= reject if model.usable else np.ones(len(s), bool)
             yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(batch.columns, out, strict=False)), pa.array(a), pa.array(b), pa.array(s), pa.array(keep)], schema=out)
 
-    return taken.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
