@@ -15,9 +15,15 @@ many documents there are:
 
 The plan says which ranks of each length go to which sequences. Ranks are
 computed within (length, bucket) groups, so no group holds a whole length.
+Lengths above a quarter of a sequence are large, so that configurations hold
+two or three documents; groups are fine, since what rounding up wastes can only
+be filled by documents that short.
 
 A null text is an empty document: its single piece is the end token. An empty
-table gives an empty result. Repeated rows are documents of their own.
+table gives an empty result. Repeated rows, with an id or without, are documents
+of their own. Texts are tokenized whole. Pieces of equal length are
+interchangeable: which of them goes where follows their places in a table of
+pieces. Only doc_id and text are read, so other names can't clash.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,11 +40,13 @@ from .bpe import encoder
 from .frames import documents, per_block, written
 
 #: Groups of large lengths, with the share of a sequence above which a length is large. The plan with the fewest sequences is taken.
-SETTINGS = ((40, 1 / 2), (40, 1 / 3), (40, 1 / 4), (40, 1 / 8), (100, 1 / 8))
+SETTINGS = ((320, 1 / 4), (480, 1 / 4))
 #: Further settings are tried while the plan is so much above the least that all lengths together need.
-CLOSE = 1.002
-#: Groups that the ranks of one length are counted in.
-BUCKETS = 64
+CLOSE = 1.001
+#: Configurations are optimal but for half a sequence, or this share of them.
+NEAR = 0.0003
+#: Least and most groups that the ranks of one length are counted in, and the pieces that a group is made for.
+BUCKETS, PIECES = (64, 1024), 250_000
 
 
 def cut(docs: DataFrame, path: str, capacity: int, end: int) -> DataFrame:
@@ -65,44 +74,68 @@ def cut(docs: DataFrame, path: str, capacity: int, end: int) -> DataFrame:
     return per_block(documents(docs), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long", work)
 
 
-def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 2000) -> list[tuple[float, list[int]]]:
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse, by elimination with row exchanges: a driver's threads are no place for a library's own."""
+    n = len(matrix)
+    both = np.concatenate((matrix, np.eye(n)), axis=1)
+    for i in range(n):
+        k = i + int(np.abs(both[i:, i]).argmax())
+        if k != i:
+            both[[i, k]] = both[[k, i]]
+        both[i] /= both[i, i]
+        factor = both[:, i].copy()
+        factor[i] = 0
+        used = np.flatnonzero(factor)
+        both[used] -= factor[used, None] * both[i]
+    return both[:, n:]
+
+
+def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 3000) -> list[tuple[float, list[int]]]:
     """Amounts of configurations that together cover the demand with the fewest sequences, fractions allowed (column generation)."""
     n = len(sizes)
-    columns = [[capacity // s if i == j else 0 for j in range(n)] for i, s in enumerate(sizes)]
-    basis = np.array(columns, float).T
-    amount = np.array(demand, float) / basis.diagonal()
     order = np.array(sizes)
-    for _ in range(rounds):
-        inverse = np.linalg.inv(basis)
-        price = np.maximum(np.ones(n) @ inverse, 0)
-        best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-        for c in range(int(order.min()), capacity + 1):
-            fit = np.flatnonzero(order <= c)
-            value = best[c - order[fit]] + price[fit]
-            k = int(value.argmax())
-            if value[k] > best[c - 1] + 1e-12:
-                best[c], choice[c] = value[k], fit[k]
-            else:
-                best[c], choice[c] = best[c - 1], -1
-        if best[capacity] <= 1 + 1e-7:
+    basis = np.diag(capacity // order).astype(float)
+    inverse = np.diag(1.0 / (capacity // order))
+    amount = np.array(demand, float) / basis.diagonal()
+    layers = capacity // int(order.min())
+    at = np.arange(capacity + 1)[:, None] - order[None, :]
+    fits = at >= 0
+    at = np.maximum(at, 0)
+    for step in range(rounds):
+        if step % 128 == 127:  # the updates' rounding errors add up
+            inverse = inverted(basis)
+        price = np.maximum(inverse.sum(axis=0), 0)
+        # The most valuable contents of one sequence, a document more with each layer.
+        best, choices = np.zeros(capacity + 1), []
+        for _ in range(layers):
+            value = np.where(fits, best[at] + price, 0)
+            choice = value.argmax(axis=1)
+            more = value[np.arange(capacity + 1), choice]
+            choices.append(np.where(more > best + 1e-12, choice, -1))
+            if not (choices[-1] >= 0).any():
+                break
+            best = np.maximum(best, more)
+        # No solution has fewer sequences than the present one divided by that value.
+        total = amount.sum()
+        if total - total / max(1.0, best[capacity]) <= max(0.5, NEAR * total):
             break
         column, c = np.zeros(n), capacity
-        while c > 0:
-            if choice[c] < 0:
-                c -= 1
-            else:
+        for choice in choices[::-1]:
+            if choice[c] >= 0:
                 column[choice[c]] += 1
-                c -= int(order[choice[c]])
+                c -= sizes[choice[c]]
         change = inverse @ column
         up = change > 1e-9
         if not up.any():
             break
         ratio = np.where(up, amount / np.where(up, change, 1), np.inf)
         out = int(ratio.argmin())
-        step = ratio[out]
-        amount = amount - step * change
-        amount[out] = step
+        amount = amount - ratio[out] * change
+        amount[out] = ratio[out]
         basis[:, out] = column
+        row = inverse[out] / change[out]
+        inverse -= np.outer(change, row)
+        inverse[out] = row
     return [(float(x), basis[:, i].astype(int).tolist()) for i, x in enumerate(amount) if x > 1e-9]
 
 
@@ -194,37 +227,34 @@ def best_plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int,
     return best
 
 
-def place(pieces: DataFrame, capacity: int, buckets: int = BUCKETS) -> DataFrame:
-    """Add sequence_id and offset to pieces (a written table) that have doc_id, piece and length."""
-    keyed = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
-    counts = keyed.groupBy("length", "bucket").count().collect()  # at most capacity * buckets rows
+def place(pieces: DataFrame, capacity: int, buckets: int | None = None) -> DataFrame:
+    """Add sequence_id and offset to pieces (a written table) that have a length."""
+    buckets = buckets or min(max(BUCKETS[0], pieces.count() // PIECES), BUCKETS[1])
+    # By place in the table, so that neither repeated rows nor rows without an id share a group.
+    keyed = pieces.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).withColumn("bucket", F.pmod(F.xxhash64("file", "row"), F.lit(buckets)).cast("int"))
+    counts = keyed.groupBy("length", "bucket").count().toArrow()  # at most capacity * buckets rows
     base = np.zeros((capacity + 1, buckets + 1), np.int64)
-    for length, bucket, n in counts:
-        base[length, bucket + 1] = n
+    base[counts["length"].to_numpy(), counts["bucket"].to_numpy() + 1] = counts["count"].to_numpy()
     histogram = {s: int(base[s].sum()) for s in range(1, capacity + 1) if base[s].any()}
     base = np.cumsum(base, axis=1)
     rows, _ = best_plan(histogram, capacity)
     steps = np.array(sorted(rows) or [(0,) * 6], np.int64)
     # One sorted key for (length, rank): lengths are at most capacity and ranks below 2**48.
     keys = (steps[:, 0] << 48) | steps[:, 1]
-    order = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")
-    ranked = keyed.withColumn("rank", F.row_number().over(order))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
+    ranked = keyed.withColumn("rank", F.row_number().over(Window.partitionBy("length", "bucket").orderBy("file", "row")))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
     names = pieces.columns
 
     def assign(batches):
         for batch in batches:
-            length = batch["length"].to_numpy(np.int64)
-            at = base[length, batch["bucket"].to_numpy(np.int64)] + batch["rank"].to_numpy(np.int64) - 1
+            length, bucket, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in ("length", "bucket", "rank"))
+            at = base[length, bucket] + rank - 1
             step = np.searchsorted(keys, (length << 48) | at, side="right") - 1
             _, first, _, sequence, offset, stack = steps[step].T
             within = at - first
-            out = batch[names].copy()
-            out["sequence_id"] = sequence + within // stack
-            out["offset"] = offset + within % stack * length
-            yield out
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(sequence + within // stack), pa.array(offset + within % stack * length)], [*names, "sequence_id", "offset"])
 
-    return ranked.mapInPandas(assign, schema)
+    return ranked.select(*names, "bucket", "rank").mapInArrow(assign, schema)
 
 
 def pack(docs: DataFrame, path: str, capacity: int = 1024, end: int = 2) -> DataFrame:
