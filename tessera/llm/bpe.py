@@ -8,8 +8,14 @@ no prefix of a match fits, the encoder steps back one token and marks the
 position as dead, so that work stays linear in the length. The results equal
 those of applying the merges in order.
 
-Nulls and empty texts give no tokens. The text of an added token gives that
-token's id, as the tokenizers library does by default.
+Pre-tokens of up to 48 bytes move along the automaton's forward edges together,
+as arrays; longer ones go through the automaton with its failure links, one by
+one. Tokens of a pre-token are remembered by a 64-bit hash of it alone: of a
+million pre-tokens two share one with a chance of 3 * 10 ** -8.
+
+Nulls and empty texts give no tokens; an empty table gives no blocks. Texts are
+encoded whole. The text of an added token gives that token's id, as the
+tokenizers library does by default.
 """
 
 from __future__ import annotations
@@ -23,8 +29,10 @@ import regex
 from .inttable import IntTable
 from .textcore import Block, blocks, ragged, span_hashes
 
-#: Distinct pre-tokens that a worker remembers before it starts afresh.
-CACHE_ENTRIES = 2_000_000
+#: Bytes of tokens and keys that a worker remembers before it starts afresh.
+CACHE_BYTES = 24 << 20
+#: Pairs of tokens whose compatibility a worker remembers before it starts afresh.
+PAIRS = 300_000
 #: Pre-tokens of up to so many bytes are encoded together, longer ones one by one.
 TOGETHER = 48
 LETTER, NUMBER, BLANK, OTHER = range(4)
@@ -44,14 +52,15 @@ def character_classes(path: str) -> np.ndarray:
     from tokenizers import Tokenizer
 
     table = np.full(0x110000, OTHER, np.uint8)
-    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     split = Tokenizer.from_file(path).pre_tokenizer
-    for kind, pattern, lead in ((LETTER, r"\p{L}", "a"), (NUMBER, r"\p{N}", "1")):
-        members = regex.findall(pattern, everything)
-        probe = "".join(f"!{lead}{c}" for c in members)
-        joined = {a for _, (a, b) in split.pre_tokenize_str(probe) if b - a == 2}
-        table[[ord(c) for i, c in enumerate(members) if 3 * i + 1 in joined]] = kind
-    table[[ord(c) for c in regex.findall(r"\s", everything)]] = BLANK
+    for first in range(0, 0x110000, 1 << 13):  # in stretches, so that little memory is taken
+        stretch = "".join(chr(c) for c in range(first, first + (1 << 13)) if not 0xD800 <= c < 0xE000)
+        for kind, pattern, lead in ((LETTER, r"\p{L}", "a"), (NUMBER, r"\p{N}", "1")):
+            members = regex.findall(pattern, stretch)
+            probe = "".join(f"!{lead}{c}" for c in members)
+            joined = {a for _, (a, b) in split.pre_tokenize_str(probe) if b - a == 2}
+            table[[ord(c) for i, c in enumerate(members) if 3 * i + 1 in joined]] = kind
+        table[[ord(c) for c in regex.findall(r"\s", stretch)]] = BLANK
     return table
 
 
@@ -101,7 +110,7 @@ class Vocabulary:
         for b, i in self.ids.items():
             self.automaton.add_word(b.decode("latin-1"), (i, len(b) - 1))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.compatible_pairs = lru_cache(maxsize=1 << 14)(self.compatible)
         self.whole = self.ids | {t.encode(): i for t, i in self.added.items()}
         self.pair_table, self.pair_ok = IntTable(), np.zeros(0, bool)
         self.shorter_token = np.full(size, -1, np.int64)
@@ -136,10 +145,6 @@ class Vocabulary:
         apart, latest merge first. At each stage the two parts that touch must
         not have a merge that would have come before the merge undone last.
         """
-        key = (a, b)
-        known = self.pairs.get(key)
-        if known is not None:
-            return known
         left, right, limit, ok = a, b, 1 << 60, True
         order, halves, merged = self.order, self.halves, self.merged
         while True:
@@ -154,7 +159,6 @@ class Vocabulary:
                 limit, left = x, halves[left][1]
             else:  # of equal ranks the left one is made first, and a merge across the seam too
                 limit, right = y + 1, halves[right][0]
-        self.pairs[key] = ok
         return ok
 
     def compatible_all(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -162,6 +166,9 @@ class Vocabulary:
         keys = (a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)
         at = self.pair_table.find(keys)
         if (at < 0).any():
+            if len(self.pair_table) > PAIRS:
+                self.pair_table, self.pair_ok = IntTable(), np.zeros(0, bool)
+                at[:] = -1
             new = np.unique(keys[at < 0])
             told = [self.compatible(int(k) >> 32, int(k) & 0xFFFFFFFF) for k in new.tolist()]
             self.pair_table.add(new)
@@ -257,7 +264,7 @@ class Vocabulary:
         alive = bytearray(b"\1") * (n + 1)
         out: list[int] = []
         at, token = 0, longest[0]
-        lengths, shorter, compatible = self.lengths, self.shorter, self.compatible
+        lengths, shorter, compatible = self.lengths, self.shorter, self.compatible_pairs
         while at < n:
             last = out[-1] if out else -1
             while True:
@@ -288,8 +295,8 @@ def classes(path: str) -> np.ndarray:
 class Encoder:
     """Encodes blocks of texts; remembers the tokens of pre-tokens it has met."""
 
-    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
-        self.vocab, self.table, self.limit = vocabulary(path), classes(path), entries
+    def __init__(self, path: str, cache: int = CACHE_BYTES):
+        self.vocab, self.table, self.limit = vocabulary(path), classes(path), cache
         self.special = regex.compile("|".join(regex.escape(t) for t in sorted(self.vocab.added, key=len, reverse=True)).encode()) if self.vocab.added else None
         self._forget()
 
@@ -373,7 +380,7 @@ class Encoder:
         miss = np.flatnonzero(entry < 0)
         if len(miss):
             new, first = np.unique(keys[miss], return_index=True)
-            if len(self.known) + len(new) > self.limit and len(self.known):
+            if 60 * (len(self.known) + len(new)) + 8 * self.used > self.limit and len(self.known):
                 self._forget()
                 new, first = np.unique(keys, return_index=True)
                 miss = np.arange(len(keys))
