@@ -137,10 +137,28 @@ FROM b
 """
 
 
+def quality_rule_ablation(spark: SparkSession, folder: str) -> DataFrame:
+    """Per rule of op6's policy: how many documents fail it, go only because of it, and would be kept without it."""
+    from .quality_rules import ablation, ledger
+
+    return ablation(ledger(table(spark, folder, "documents")))
+
+
+_KEEPS = "({0} & 127 = 0 AND bit_count({0} & 896) < 2)"
+ABLATION_SQL = f"""
+WITH q AS ({OP6_SQL}),
+r(rule, bit) AS (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('duplicate_lines', 8), ('short_words', 16), ('long_words', 32),
+  ('capitals', 64), ('some_repeats', 128), ('some_symbols', 256), ('some_duplicate_lines', 512))
+SELECT rule, count_if(bits & bit <> 0) AS failed, count_if(NOT {_KEEPS.format("bits")} AND {_KEEPS.format("(bits & ~bit)")}) AS only,
+       count_if({_KEEPS.format("(bits & ~bit)")}) AS kept_without
+FROM q CROSS JOIN r GROUP BY rule
+"""
+
+
 def op7_co_training(spark: SparkSession, folder: str) -> DataFrame:
     from .co_training import fit, score
 
-    docs = table(spark, folder, "documents")
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang", "n_chars")
     return score(docs, fit(docs, table(spark, folder, "labels"))).select("doc_id", "p_text", "p_page", "score", "kept")
 
 
@@ -173,6 +191,6 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(table(spark, folder, "documents"), path, "n_tokens long, ids_sha256 string, decoded_sha256 string", digest)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii_semi_crf, op2_license_rules, op3_token_rollups, op4_minhash_lsh_forest, op5_threshold_top_k, op6_quality_rules, op7_co_training, op8_best_fit_packing, op9_lm_scores, op10_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (op1_pii_semi_crf, op2_license_rules, op3_token_rollups, op4_minhash_lsh_forest, op5_threshold_top_k, op6_quality_rules, op7_co_training, op8_best_fit_packing, op9_lm_scores, op10_bpe_round_trip, quality_rule_ablation)}
 #: The other queries' methods are not expressible in SQL; tests/llm holds them against brute force.
-ORACLES = {"op3_token_rollups": OP3_SQL, "op5_threshold_top_k": OP5_SQL, "op6_quality_rules": OP6_SQL}
+ORACLES = {"op3_token_rollups": OP3_SQL, "op5_threshold_top_k": OP5_SQL, "op6_quality_rules": OP6_SQL, "quality_rule_ablation": ABLATION_SQL}
