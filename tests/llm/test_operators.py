@@ -204,8 +204,23 @@ def test_wrapped_license_notices(spark):
     rows = [(i, t, "en", "s", 1, "x") for i, t in enumerate(notices)]
     got = by_id(license_rules.scan(spark.createDataFrame(rows, COLUMNS)).collect())
     assert [got[i].labels for i in range(2)] == list(notices.values()) and all(got[i].score > 0.9 for i in range(2))
-    for _, keyword, phrase, *_ in license_rules.NOTICES:
-        assert any(keyword in w for w in phrase.split()), phrase
+    for label, keyword, phrase, *_ in license_rules.notices():
+        assert any(not w.endswith("?") and all(keyword in x for x in w.split("/")) for w in phrase.split()), phrase
+        text = " ".join(w.rstrip("?").split("/")[0].replace("#", "2.0") for w in phrase.split())
+        assert label in [x for x, *_ in license_rules.detect(f"so {text} it says".encode())], phrase
+
+
+def test_suppression_equals_comparing_with_all():
+    r = random.Random(6)
+    names = ["apache license", "gnu general public license", "version 2.0", "cc by sa", "licensed under the", "mit license", "creative commons attribution sharealike license", "all rights reserved", "x"]
+    for _ in range(200):
+        text = " ".join(r.choices(names, k=r.randint(1, 30))).encode()
+        found = sorted((x.priority, m.start() - m.end(), m.start(), m.end(), x.label, x.confidence) for x in license_rules.rules() if x.keyword in text for m in x.pattern.finditer(text))
+        taken = []
+        for _, _, a, b, label, c in found:
+            if not any(p <= a and b <= q for _, p, q, _ in taken):
+                taken.append((label, a, b, c))
+        assert license_rules.detect(text) == taken
 
 
 def shingle_sets(texts):
@@ -279,7 +294,7 @@ def test_every_pair_of_a_crowded_region_is_compared(spark):
     df = spark.createDataFrame(rows, "tree int, order binary, node long, root long")
     least = lsh_forest.least_agreement(0.85)
     pairs = [(i, int(j)) for i in range(3000) for j in i + 1 + np.flatnonzero((sig[i + 1 :] == sig[i]).sum(axis=1) >= least)]
-    sets = df.withColumn("set", F.expr("unhex(lpad(hex(node % 1500 + 1), 12, '0'))"))
+    sets = df.withColumn("set", F.expr("unhex(lpad(hex(node % 1500 + 1), 16, '0'))"))
     got = lsh_forest.in_regions(sets, lsh_forest.joining_links, ("a", "b"), 0.85, 85).collect()
     assert len(pairs) == 1500 and sorted((x.a, x.b) for x in got) == pairs
     flagged = lsh_forest.in_regions(df, lsh_forest.open_nodes, ("tree", "node"), 0.85, 85)
@@ -371,11 +386,11 @@ def test_co_training(spark, none):
     docs = spark.createDataFrame([*rows, (999, None, None, None, None, None)], COLUMNS)
     labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(450)], "doc_id long, quality int")
     model = co_training.fit(docs, labels)
-    assert model.usable and sum(map(sum, model.history)) > 0
+    assert model.usable and all(sum(h[v] for h in model.history) > 0 for v in (0, 1))  # each view has labelled for the other
     got = by_id(co_training.score(docs, model).collect())
-    assert all(got[i].kept == (i % 3 > 0) for i in range(600)) and 999 in got
+    assert all(got[i].kept_ == (i % 3 > 0) and got[i].kept == "x" for i in range(600)) and 999 in got
     empty = co_training.fit(docs, labels.limit(0))
-    assert not empty.usable and all(r.kept for r in co_training.score(docs, empty).collect())
+    assert not empty.usable and all(r.kept_ for r in co_training.score(docs, empty).collect())
     assert co_training.score(none, model).count() == 0
 
 
