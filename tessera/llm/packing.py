@@ -40,11 +40,11 @@ from .bpe import encoder
 from .frames import documents, per_block, written
 
 #: Groups of large lengths, with the share of a sequence above which a length is large. The plan with the fewest sequences is taken.
-SETTINGS = ((320, 1 / 4), (480, 1 / 4))
+SETTINGS = ((240, 1 / 4), (160, 1 / 8))
 #: Further settings are tried while the plan is so much above the least that all lengths together need.
-CLOSE = 1.001
+CLOSE = 1.003
 #: Configurations are optimal but for half a sequence, or this share of them.
-NEAR = 0.0003
+NEAR = 0.001
 #: Least and most groups that the ranks of one length are counted in, and the pieces that a group is made for.
 BUCKETS, PIECES = (64, 1024), 250_000
 
