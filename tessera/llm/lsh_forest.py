@@ -371,19 +371,22 @@ def left_apart(docs: DataFrame, rows: DataFrame, roots: DataFrame, sets: DataFra
 
 def linked(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """(node, component) of nodes (node, at, signature) that are linked with others."""
-    places, held = nodes.select("node", "at"), []
+    spark, places, held = docs.sparkSession, nodes.select("node", "at"), []
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         held.append(written(df, name))
         return held[-1]
 
+    # Tables of a few numbers a node need fewer files than there are partitions.
+    few = lambda df: df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4))
+
     rows = keep(orders(nodes.select("node", "signature")), "orders")
     pairs = keep(candidates(rows, percent / 100), "candidates")
-    sets = keep(sets_of(docs, keep(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(places, "node"), "wanted")), "sets")
+    sets = keep(sets_of(docs, keep(few(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(places, "node")), "wanted")), "sets")
     # Each node's best candidate comes first; the others only where it leaves nodes apart.
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "agree")
     best = ends.groupBy("node").agg(F.max(F.struct("agree", -F.col("a"), -F.col("b"))).alias("m")).select((-F.col("m.col2")).alias("a"), (-F.col("m.col3")).alias("b")).distinct()
-    best = keep(best, "best")
+    best = keep(few(best), "best")
     links = keep(confirmed(best, sets, percent), "confirmed")
     roots = components(links)
     root = lambda side: roots.select(F.col("node").alias(side), F.col("component").alias(f"root_{side}"))
@@ -401,16 +404,22 @@ def linked(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return roots
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every document."""
+def groups(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """doc_id, at (a hash of the row), n_shingles, group (a number for each component; null for empty sets) and component_id for every document."""
     small = written(signed(docs), "signatures")
-    groups = small.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("own"), F.min("at").alias("at"), F.first("signature").alias("signature"))
+    sets = small.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("own"), F.min("at").alias("at"), F.first("signature").alias("signature"))
     # The numbers are fixed by being written.
-    nodes = written(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes = written(sets.withColumn("node", F.monotonically_increasing_id()), "nodes")
     roots = linked(docs, nodes.select("node", "at", "signature"), percent)
     named = nodes.select("k1", "k2", "node", "own").join(roots, "node", "left")
     ids = named.filter("component IS NOT NULL").groupBy("component").agg(F.min("own").alias("least"))
-    named = named.join(ids, "component", "left").select("k1", "k2", F.when(F.col("component").isNull(), F.col("own")).otherwise(F.col("least")).alias("component"))
-    joined = small.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
-    out = joined.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    named = named.join(ids, "component", "left").select("k1", "k2", F.coalesce("component", "node").alias("group"), F.when(F.col("component").isNull(), F.col("own")).otherwise(F.col("least")).alias("least"))
+    joined = small.select("doc_id", "at", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
+    full = F.col("n_shingles") > 0
+    return joined.select("doc_id", "at", "n_shingles", F.when(full, F.col("group")).alias("group"), F.when(full, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every document."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
+    return groups(docs, percent).select("doc_id", "n_shingles", "component_id", kept)
