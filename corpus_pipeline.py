@@ -5,13 +5,16 @@ quality rules; one document of each group of near-duplicates stays; personal
 data are masked; what is left is packed into sequences. Each stage but the last
 returns the columns of its input, whatever these are named.
 
-Rows without an id pass the near-duplicate stage. A null text stays null until
-packing, where it is an empty document.
+Of a group of near-duplicates the row with the smallest id stays, one without an
+id only where none has one; of rows that repeat that id, the one with the
+smallest hash. Texts without words are in no group and go with the quality rules
+anyway. A null text stays null until packing, where it is an empty document.
+Empty tables pass through all stages; texts are read whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import co_training, lsh_forest, packing, pii, quality_rules
@@ -46,8 +49,21 @@ def quality_rule_ledger(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = lsh_forest.near_duplicates(docs, percent=80).filter("doc_id IS NOT NULL AND NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]).dropDuplicates(["doc_id", "text"])
+    found = written(lsh_forest.groups(docs, percent=80).filter("group IS NOT NULL").select("group", "doc_id", "at"), "groups")
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("m")).select("group", F.col("m.at").alias("stays"))
+    few = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    gone = written(found.join(first, "group").filter("at <> stays").select("at").distinct().coalesce(few), "gone")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*columns, F.xxhash64("doc_id", F.col("text").cast("string")).alias(OWN + "at"))
+    rest = lambda df, other: df.join(other.withColumnRenamed("at", OWN + "at"), OWN + "at", "left_anti")
+    repeated = written(rest(found.groupBy(F.col("at").alias(OWN + "at")).count().filter("count > 1").select(OWN + "at"), gone).coalesce(few), "repeated")
+    kept = rest(keyed, gone)
+    if not repeated.isEmpty():
+        # Only rows that repeat an id and a text are dealt out by them: of each, the one whose columns hash lowest stays.
+        place = Window.partitionBy(OWN + "at").orderBy(F.xxhash64(*columns))
+        once = keyed.join(repeated, OWN + "at", "left_semi").withColumn(OWN + "n", F.row_number().over(place)).filter(F.col(OWN + "n") == 1).drop(OWN + "n")
+        kept = kept.join(repeated, OWN + "at", "left_anti").select(*columns, OWN + "at").unionByName(once.select(*columns, OWN + "at"))
+    return kept.select(*columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
