@@ -105,12 +105,30 @@ def test_json_repair():
     assert first_object("nothing") == (None, False)
 
 
-def test_normalising_an_answer():
-    label, error = normalize.parse(json.dumps({"image_type": "Photo", "caption": "", "visible_text": ["图1 总览", "abc def"], "structured_label": {"kind": "grid", "content": "x"}, "ocr_regions": [{"role": "公章", "text": "某某有限公司"}, {"role": "odd", "text": "t"}, {"role": "title", "text": " "}, 5], "flowchart_graph": {"nodes": [{"node_id": "n7", "text": "a"}, {"text": "b"}], "edges": [{"source": "n7", "target": 2}, {"source": "", "target": 1}]}}))
-    assert error is None and (label["image_type"], label["kind"], label["format"], label["brief"]) == ("unknown", "text", "plain_text", "图1 总览")
-    assert [r["role"] for r in label["ocr_regions"]] == ["seal", "other"] and [n["node"] for n in label["nodes"]] == [7, 2] and label["edges"] == [{"source": 7, "target": 2, "label": ""}]
-    assert label["warnings"] == ["image_type normalized from 'photo' to 'unknown'", "structured_label.kind normalized from 'grid' to 'text'", "flowchart_graph edge with invalid source/target was dropped", "ocr_regions[2].role normalized from 'odd' to 'other'", "ocr_regions[3] dropped because text is empty", "ocr_regions item at index 4 dropped because it is not an object", "caption filled from caption_structured.brief"]
-    assert normalize.parse("no json")[1].startswith("Failed to locate") and normalize.parse(None)[0] is None
+def normalised(spark, *answers):
+    rows = [("i", k, True, a if a is None or isinstance(a, str) else json.dumps(a, ensure_ascii=False), None) for k, a in enumerate(answers)]
+    made = normalize.normalize(spark.createDataFrame(rows, "item string, model int, success boolean, raw_text string, error string"))
+    return [(r.label, r.error) for r in made.orderBy("model").collect()]
+
+
+def test_normalising_an_answer(spark):
+    graph = {"nodes": [{"node_id": "n7", "text": "a"}, {"text": "b"}], "edges": [{"source": "n7", "target": 2}, {"source": "", "target": 1}]}
+    answer = {"image_type": "Photo", "caption": "", "visible_text": ["图1 总览", "abc def"], "structured_label": {"kind": "grid", "content": "x"}, "ocr_regions": [{"role": "公章", "text": "某某有限公司"}, {"role": "odd", "text": "t"}, {"role": "title", "text": " "}, 5], "flowchart_graph": graph}
+    (label, error), (none, why), (null, _) = normalised(spark, answer, "no json", None)
+    assert error is None and (label.image_type, label.kind, label.format, label.brief) == ("unknown", "text", "plain_text", "图1 总览")
+    assert [r.role for r in label.ocr_regions] == ["seal", "other"] and [n.node for n in label.nodes] == [7, 2] and [tuple(e) for e in label.edges] == [(7, 2, "")]
+    assert label.warnings == ["image_type normalized from 'photo' to 'unknown'", "structured_label.kind normalized from 'grid' to 'text'", "flowchart_graph edge with invalid source/target was dropped", "ocr_regions[2].role normalized from 'odd' to 'other'", "ocr_regions[3] dropped because text is empty", "ocr_regions item at index 4 dropped because it is not an object", "caption filled from caption_structured.brief"]
+    assert none is None and why.startswith("Failed to locate") and null is None
+
+
+def test_normalising_odd_values(spark):
+    odd = {"image_type": None, "caption": 7, "visible_text": "one", "structured_label": {"kind": "table", "format": None, "content": "a,b"}, "caption_structured": {"visual_type": "流程图", "brief": None, "caption_source": "model", "confidence": "sure", "key_visible_text": ["on"]}, "ocr_regions": {}, "warnings": [True, None, " w "], "flowchart_graph": 3}
+    cut = json.dumps({"image_type": "chart", "caption": "c", "structured_label": {"kind": "table", "content": "x"}, "visible_text": ["a", "b"]})[:-6]
+    (a, _), (b, _), (c, _) = normalised(spark, odd, cut, {"caption_structured": [1], "structured_label": {"kind": "mermaid", "content": "flowchart TD\nA[x] --> B[y]"}, "image_type": "flowchart"})
+    assert (a.image_type, a.caption, a.format, a.visual_type, a.caption_confidence, a.key_visible_text) == ("unknown", "7", "none", "flowchart", "medium", ["one"])
+    assert a.warnings == ["True", "None", "w", "image_type normalized from 'none' to 'unknown'", "caption_structured.visual_type normalized from '流程图' to 'flowchart'", "caption_structured.key_visible_text aligned to visible_text", "caption_structured.caption_source normalized from 'model' to 'generated'", "caption_structured.confidence normalized from 'sure' to 'medium'", "flowchart_graph normalized from non-object to None", "ocr_regions normalized from non-list to empty list"]
+    assert (b.image_type, b.format, b.structure_summary, b.warnings) == ("chart", "markdown", "可见图表结构与数据标注。 可见文字 1 项以内。", ["recovered_truncated_json_output"])
+    assert (c.weak, [n.text for n in c.nodes], c.caption) == (True, ["x", "y"], "") and c.warnings == ["caption_structured normalized from non-object to default object", "flowchart_graph missing; derived weak mermaid fallback graph"]
 
 
 def test_seals(spark):
