@@ -73,8 +73,9 @@ def has_cjk(text: Column) -> Column:
 
 def bigrams(form: Column) -> Column:
     """Distinct pairs of neighbouring characters; a single character is a set of its own."""
-    each = lambda f: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(f) - 1, F.lit(1))), lambda i: F.substring(f, i, F.lit(2))))
-    return let(form, lambda f: F.when(f == "", F.array().cast("array<string>")).otherwise(each(f)))
+    # Overlapping matches of a look-ahead: one pass over the text, whatever its characters' widths.
+    pairs = F.regexp_extract_all(form, F.lit("(?s)(?=(..))"), F.lit(1))
+    return F.array_distinct(F.when(F.length(form) == 1, F.array(form)).otherwise(pairs))
 
 
 def characters(form: Column) -> Column:
@@ -87,8 +88,9 @@ def tokens(form: Column) -> Column:
 
 def jaccard(a: Column, b: Column, both_empty: float = 0.0) -> Column:
     """Shared elements among all; two empty sets give `both_empty`."""
-    # Of sets, the union has as many elements as both less the shared ones.
-    return let(F.size(F.array_intersect(a, b)), lambda both: F.when(F.size(a) + F.size(b) == 0, F.lit(both_empty)).otherwise(both / (F.size(a) + F.size(b) - both)))
+    # Of sets, the union has as many elements as both less the shared ones. The division is null for two empty sets.
+    both = F.size(F.array_intersect(a, b))
+    return F.coalesce(F.try_divide(both, F.size(a) + F.size(b) - both), F.lit(both_empty))
 
 
 def contained(a: Column, b: Column) -> Column:
@@ -153,12 +155,6 @@ def alignment_score(a: Column, b: Column) -> Column:
     return F.when((a.form == "") | (b.form == ""), 0.0).when(a.form == b.form, 1.0).when(contained(a.compact, b.compact), 0.45 + 0.5 * length_ratio(a.compact, b.compact)).otherwise(best)
 
 
-def title_alignment_score(a: Column, b: Column, a_bare: Column, b_bare: Column) -> Column:
-    inside = F.when((a_bare.compact == "") | (b_bare.compact == ""), 0.0).when(contained(a_bare.compact, b_bare.compact), 0.75 + 0.25 * length_ratio(a_bare.compact, b_bare.compact))
-    rest = inside.otherwise(F.greatest(keyword_similarity(a_bare, b_bare), text_similarity(a_bare, b_bare)))
-    return F.when((a.form == "") | (b.form == ""), 0.0).when(a.form == b.form, 1.0).when((a.bare != "") & (a.bare == b.bare), 1.0).otherwise(rest)
-
-
 def evidence_prepared(text: Column) -> Column:
     """What evidence_similarity needs; tokens are taken before white space goes."""
     return let(squash_form(text), lambda squash: _evidence_parts(text, squash))
