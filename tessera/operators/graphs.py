@@ -37,34 +37,49 @@ def node_name(number: Column) -> Column:
 # ---- visual order
 
 
-def node_depths(nodes: DataFrame, edges: DataFrame, keys: list[str], rounds: int) -> DataFrame:
-    """Steps from the nearest root, for all graphs at once, in at most `rounds` rounds: keys, node, depth.
-
-    A node's depth settles in the round that reaches it first, so that rounds
-    beyond the depth of the graphs change nothing. Nodes that no root reaches
-    have their place in order as depth.
-    """
-    e = edges.select(*keys, "source", "target").distinct()
-    depth = nodes.select(*keys, "node").join(e.select(*keys, F.col("target").alias("node")), [*keys, "node"], "left_anti").withColumn("depth", F.lit(1))
-    for n in range(2, rounds + 2):
-        step = depth.filter(F.col("depth") == n - 1).join(e.withColumnRenamed("source", "node"), [*keys, "node"]).select(*keys, F.col("target").alias("node"), F.lit(n).alias("depth"))
-        depth = depth.union(step).groupBy(*keys, "node").agg(F.min("depth").alias("depth"))
-    return nodes.select(*keys, "node", "order_index").join(depth, [*keys, "node"], "left").select(*keys, "node", F.coalesce("depth", F.greatest(F.lit(1), F.coalesce("order_index", F.lit(1)))).alias("depth"))
-
-
-def _depths(known: list[int], order: list[int | None], edges: list[tuple[int, int]]) -> dict[int, int]:
-    """The same for one graph: breadth first. Without a root, every node's place in order."""
-    ends = {(a, b) for a, b in edges if a in set(known) and b in set(known)}
-    heads = {b for _, b in ends}
-    found = {n: 1 for n in known if n not in heads}
+def _depths(nodes: list[int], order: list[int | None], edges: list[tuple[int, int]]) -> dict[int, int]:
+    """Steps from the nearest root of one graph, breadth first. Nodes that no root reaches have their place in order; without a root, all have."""
+    after: dict[int, list[int]] = {n: [] for n in nodes}
+    heads = set()
+    for a, b in edges:
+        if a in after and b in after:
+            after[a].append(b)
+            heads.add(b)
+    found = {n: 1 for n in nodes if n not in heads}
     if not found:
-        return {n: o or i for i, (n, o) in enumerate(zip(known, order, strict=True), 1)}
+        return {n: o or i for i, (n, o) in enumerate(zip(nodes, order, strict=True), 1)}
     queue = sorted(found)
-    for n in queue:
-        for b in sorted(b for a, b in ends if a == n and b not in found):
-            found[b] = found[n] + 1
-            queue.append(b)
-    return {n: found.get(n, max(1, o or 1)) for n, o in zip(known, order, strict=True)}
+    for n in queue:  # grows while it is read
+        for b in after[n]:
+            if b not in found:
+                found[b] = found[n] + 1
+                queue.append(b)
+    return {n: found.get(n, max(1, o or 1)) for n, o in zip(nodes, order, strict=True)}
+
+
+def _drawn(nodes: DataFrame, edges: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """A row for each annotator's graph: its nodes in order (n) and the ends of its edges (e). A graph is one answer, so its size is bounded."""
+    listed = F.sort_array(F.collect_list(F.struct(F.coalesce("order_index", "node").alias("o"), *columns)))
+    ends = edges.groupBy(*keys).agg(F.collect_list(F.struct("source", "target")).alias("e"))
+    return nodes.groupBy(*keys).agg(listed.alias("n")).join(ends, keys, "left")
+
+
+def _ends(edges) -> list[tuple[int, int]]:
+    return [] if edges is None else [(e["source"], e["target"]) for e in edges]
+
+
+def node_depths(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, node, depth: the depths that reindex() uses."""
+    kinds = {f.name: f.dataType.simpleString() for f in nodes.schema}
+
+    def measure(batches):
+        for batch in batches:
+            batch["d"] = [list(_depths([x["node"] for x in n], [x["order_index"] for x in n], _ends(e)).items()) for n, e in zip(batch["n"], batch["e"], strict=True)]
+            batch["d"] = [[{"node": n, "depth": d} for n, d in own] for own in batch["d"]]
+            yield batch[[*keys, "d"]]
+
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + f", d array<struct<node:{kinds['node']},depth:int>>"
+    return _drawn(nodes, edges, keys, ["node", "order_index"]).mapInPandas(measure, schema).select(*keys, F.explode("d").alias("x")).select(*keys, "x.node", "x.depth")
 
 
 def _sweep(rows: list[tuple[float, float, float, int, tuple[float, float] | None, float]]) -> list[int]:
@@ -91,20 +106,18 @@ def _sweep(rows: list[tuple[float, float, float, int, tuple[float, float] | None
 def reindex(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges numbered by visual order within each annotator's graph. Depths and the sweep over rows, which keeps a running mean, are computed in Python, a graph at a time."""
     keys, own = ["item", "model"], ["node", "order_index", "row_index", "col_index", "box", "shape", "text"]
-    drawn = nodes.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("order_index", "node").alias("o"), *own))).alias("n"))
-    ends = edges.groupBy(*keys).agg(F.collect_list(F.struct("source", "target")).alias("e"))
     kinds = {f.name: f.dataType.simpleString() for f in nodes.schema}
     placed = "array<struct<node:bigint,row_index:int,col_index:int>>"
 
     def number(batches):
         for batch in batches:
-            batch["p"] = [_place(n, [] if e is None else e) for n, e in zip(batch["n"], batch["e"], strict=True)]
+            batch["p"] = [_place(n, _ends(e)) for n, e in zip(batch["n"], batch["e"], strict=True)]
             yield batch[[*keys, "n", "p"]]
 
     listed = ", ".join(f"{c}: {kinds[c]}" for c in own)
     order = f"o: {'bigint' if 'bigint' in (kinds['node'], kinds['order_index']) else kinds['node']}"
     schema = f"item {kinds['item']}, model {kinds['model']}, n array<struct<{order}, {listed}>>, p {placed}"
-    done = drawn.join(ends, keys, "left").mapInPandas(number, schema).select(*keys, F.explode(F.arrays_zip("n", "p")).alias("z"))
+    done = _drawn(nodes, edges, keys, own).mapInPandas(number, schema).select(*keys, F.explode(F.arrays_zip("n", "p")).alias("z"))
     done = done.select(*keys, F.col("z.n.node").alias("old"), F.col("z.p.node").alias("node"), F.col("z.p.node").cast("int").alias("order_index"), "z.p.row_index", "z.p.col_index", "z.n.box", "z.n.shape", "z.n.text")
     end = lambda name: done.select(*keys, F.col("old").alias(name), F.col("node").alias(f"new_{name}"))
     moved = edges.join(end("source"), [*keys, "source"]).join(end("target"), [*keys, "target"])
@@ -112,9 +125,9 @@ def reindex(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return done.drop("old"), moved.select(*keys, F.col("new_source").alias("source"), F.col("new_target").alias("target"), *other)
 
 
-def _place(nodes: list[dict], edges: list[dict]) -> list[dict]:
+def _place(nodes: list[dict], edges: list[tuple[int, int]]) -> list[dict]:
     """New number, row and column of each of a graph's nodes, in the nodes' order."""
-    depth = _depths([n["node"] for n in nodes], [n["order_index"] for n in nodes], [(e["source"], e["target"]) for e in edges])
+    depth = _depths([n["node"] for n in nodes], [n["order_index"] for n in nodes], edges)
     some = []
     for i, n in enumerate(nodes):
         order = n["order_index"] or n["node"] or 10**9
@@ -181,13 +194,53 @@ def representative_shape(votes: DataFrame, keys: list[str], shape: str = "shape"
     return votes.groupBy(*keys, shape).agg(F.count(F.lit(1)).alias("n")).withColumn("r", F.row_number().over(place)).filter("r = 1").select(*keys, F.col(shape).alias("representative_shape"))
 
 
+# ---- votes about one node or edge, as an array with an entry for each annotator's claim
+
+
+def vote(text: Column) -> list[Column]:
+    """What a claim's text needs to be compared and chosen."""
+    t = strip(text)
+    return [t.alias("t"), vote_form(text).alias("form"), visible_score(t).alias("v")]
+
+
+def agreement_of(votes: Column) -> Column:
+    """consistency() of an array of votes."""
+    said = F.filter(votes, lambda x: x.form != "")
+    like = lambda a, b: F.when(a.form == b.form, 1.0).otherwise(jaccard(bigrams(a.form), bigrams(b.form), 1.0))
+    each = F.flatten(F.transform(said, lambda a, i: F.transform(F.slice(said, i + 2, F.size(said)), lambda b: like(a, b))))
+    mean = F.aggregate(each, F.lit(0.0), lambda total, x: total + x) / F.size(each)
+    return F.when(F.size(F.array_distinct(F.transform(said, lambda x: x.form))) <= 1, 1.0).otherwise(F.round(mean, 4))
+
+
+def spoken(votes: Column) -> Column:
+    """representative() of an array of votes; null for none."""
+    forms = F.array_sort(F.array_distinct(F.transform(votes, lambda x: x.form)))
+
+    def entry(form: Column, place: Column) -> Column:
+        own = F.transform(F.filter(votes, lambda x: x.form == form), lambda x: F.struct(x.v.alias("v"), F.length(x.t).alias("len"), x.t.alias("t")))
+        longest = F.array_max(F.transform(own, lambda x: x.len))
+        return F.struct(F.size(own).alias("n"), F.array_max(own).v.alias("v"), longest.alias("len"), (-place).alias("first"), F.array_max(own).t.alias("best"))
+
+    return F.array_max(F.transform(forms, entry)).best
+
+
+def shape_spoken(shapes: Column) -> Column:
+    """representative_shape() of an array."""
+    distinct = F.array_sort(F.array_distinct(shapes))
+    counted = F.transform(distinct, lambda s, i: F.struct(F.size(F.filter(shapes, lambda x: x == s)).alias("n"), (s != "unknown").alias("known"), (-i).alias("first"), s.alias("s")))
+    return F.array_max(counted).s
+
+
 def fuse_nodes(nodes: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Selected nodes: item, node, support, confidence, text_consistency, representatives, has_text."""
-    keys = ["item", "node"]
+    """Selected nodes: item, node, support, confidence, text_consistency, representatives, has_text. One grouping by item and node gathers the annotators' claims."""
     own = nodes.join(chosen.select("item", "models", "selected"), "item").filter("node <= selected")
-    base = own.groupBy(*keys, "models").agg(F.count_distinct("model").cast("int").alias("support"), F.max((strip(F.col("text")) != "")).alias("has_text"))
-    out = base.join(consistency(own, keys), keys).join(representative(own, keys), keys, "left").join(representative_shape(own, keys), keys, "left")
-    return out.select(*keys, "support", F.round(F.col("support") / F.col("models"), 4).alias("confidence"), "text_consistency", blank(F.col("representative_text")).alias("representative_text"), F.coalesce("representative_shape", F.lit("unknown")).alias("representative_shape"), "has_text")
+    per = own.groupBy("item", "node", "models").agg(F.array_sort(F.collect_list(F.struct("model", *vote(F.col("text")), "shape"))).alias("votes"))
+    said = F.filter("votes", lambda x: x.t != "")
+    support = F.size(F.array_distinct(F.transform("votes", lambda x: x.model)))
+    return per.select(
+        "item", "node", support.alias("support"), F.round(support / F.col("models"), 4).alias("confidence"), agreement_of(F.col("votes")).alias("text_consistency"),
+        F.coalesce(spoken(said), F.lit("")).alias("representative_text"), F.coalesce(shape_spoken(F.transform("votes", lambda x: x.shape)), F.lit("unknown")).alias("representative_shape"), (F.size(said) > 0).alias("has_text"),
+    )
 
 
 def edge_claims(edges: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -198,11 +251,13 @@ def edge_claims(edges: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def fuse_edges(edges: DataFrame, chosen: DataFrame) -> DataFrame:
     """Edges with their votes: item, source, target, support, confidence, label_consistency, label, fused (whether a majority has it)."""
-    keys = ["item", "source", "target"]
-    claims = edge_claims(edges, chosen).withColumn("o", F.struct("model", "position"))
-    base = claims.groupBy(*keys, "models").agg(F.count_distinct("model").cast("int").alias("support"))
-    out = base.join(consistency(claims, keys, "label", "o"), keys).join(representative(claims, keys, "label", allow_blank=True), keys, "left")
-    return out.select(*keys, "support", F.round(F.col("support") / F.col("models"), 4).alias("confidence"), F.col("text_consistency").alias("label_consistency"), F.col("representative_text").alias("label"), (F.col("support") >= support_needed(F.col("models"))).alias("fused"))
+    claims = edge_claims(edges, chosen)
+    per = claims.groupBy("item", "source", "target", "models").agg(F.array_sort(F.collect_list(F.struct("model", "position", *vote(F.col("label"))))).alias("votes"))
+    support = F.size(F.array_distinct(F.transform("votes", lambda x: x.model)))
+    return per.select(
+        "item", "source", "target", support.alias("support"), F.round(support / F.col("models"), 4).alias("confidence"),
+        agreement_of(F.col("votes")).alias("label_consistency"), spoken(F.col("votes")).alias("label"), (support >= support_needed(F.col("models"))).alias("fused"),
+    )
 
 
 def direction_conflicts(edges: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -274,7 +329,7 @@ def fuse(nodes: DataFrame, edges: DataFrame, graphs: DataFrame) -> dict[str, Dat
     first = F.when((F.col("models") == 2) & (F.col("position_errors") > 0), "ambiguous").otherwise(F.col("status"))
     first = F.when(F.col("status") == "failed", "failed").when(F.col("fallback"), "ambiguous").otherwise(first)
     failed = F.col("selected") == 0
-    rows = rows.withColumns({"critical": F.col("broken").cast("int") + 2 * failed.cast("int"), "edge_errors": F.col("turned") + F.col("outside"), "node_errors": F.col("position_errors") + uneven.cast("int"), "status": first})
+    rows = rows.withColumns({"uneven": uneven, "critical": F.col("broken").cast("int") + 2 * failed.cast("int"), "edge_errors": F.col("turned") + F.col("outside"), "node_errors": F.col("position_errors") + uneven.cast("int"), "status": first})
     rows = rows.withColumn("status", F.when((F.col("status") == "fused") & ((F.col("edges") == 0) | (F.col("edge_errors") > 0)), "partial").otherwise(F.col("status"))).withColumn("errors", F.col("node_errors") + F.col("edge_errors"))
     rows = confidence(rows)
     rows = rows.withColumn("status", F.when((F.col("status") == "fused") & (F.col("graph_confidence") < 0.70), "partial").when((F.col("status") == "fused") & (F.col("critical") > 0), "failed").otherwise(F.col("status")))

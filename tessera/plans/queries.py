@@ -35,6 +35,12 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, where a table of few splits would leave most of them idle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _claims(spark: SparkSession, d: str) -> DataFrame:
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     return _table(spark, d, "lineitem").withColumn("item", F.col("l_orderkey")).withColumn("model", F.row_number().over(order))
@@ -44,7 +50,7 @@ CLAIMS = "c AS (SELECT l_orderkey AS item, row_number() OVER (PARTITION BY l_ord
 
 
 def _turns(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "conversations").select(F.col("conv_id").alias("item"), F.col("turn").alias("model"), "role", "text")
+    return _spread(_table(spark, d, "conversations")).select(F.col("conv_id").alias("item"), F.col("turn").alias("model"), "role", "text")
 
 
 TURNS = "c AS (SELECT conv_id AS item, turn AS model, role, text FROM conversations)"
@@ -241,13 +247,13 @@ TABLES = f"WITH l AS (SELECT doc_id, {q.strip('text')} AS whole, {_L} AS own FRO
 
 @query(f"{TABLES} SELECT doc_id, row_count, col_count, stable_columns, separator_present, empty_cell_ratio, looks_like_table, n_cells FROM t")
 def table_facts(spark, d):
-    f = _table(spark, d, "documents").select("doc_id", evidence.table_facts(F.col("text")).alias("f"))
+    f = _spread(_table(spark, d, "documents")).select("doc_id", evidence.table_facts(F.col("text")).alias("f"))
     return f.select("doc_id", *[f"f.{c}" for c in ("row_count", "col_count", "stable_columns", "separator_present", "empty_cell_ratio", "looks_like_table")], F.size("f.cell_texts").alias("n_cells"))
 
 
-@query(f"{TABLES} SELECT doc_id, CASE WHEN whole = '' THEN 0.0 ELSE round(greatest(0.0, 1 - CASE WHEN NOT looks_like_table THEN 0.45 ELSE 0 END - CASE WHEN row_count < 1 OR col_count < 1 THEN 0.4 ELSE 0 END - CASE WHEN NOT stable_columns AND row_count > 1 THEN 0.15 ELSE 0 END - CASE WHEN row_count = 1 THEN 0.1 ELSE 0 END - CASE WHEN empty_cell_ratio >= 0.5 THEN 0.15 ELSE 0 END), 4) END AS score FROM t")
+@query(f"{TABLES} SELECT doc_id, CASE WHEN whole = '' THEN 0.0 ELSE round(greatest(0.0, 1 - CASE WHEN NOT looks_like_table THEN 0.45 ELSE 0 END - CASE WHEN row_count < 1 OR col_count < 1 THEN 0.4 ELSE 0 END - CASE WHEN NOT stable_columns AND row_count > 1 THEN 0.15 ELSE 0 END - CASE WHEN row_count = 1 THEN 0.1 ELSE 0 END - CASE WHEN empty_cell_ratio >= 0.5 THEN 0.15 ELSE 0 END), 4) END::DOUBLE AS score FROM t")
 def table_score(spark, d):
-    f = _table(spark, d, "documents").select("doc_id", "text", evidence.table_facts(F.col("text")).alias("f"))
+    f = _spread(_table(spark, d, "documents")).select("doc_id", "text", evidence.table_facts(F.col("text")).alias("f"))
     return f.select("doc_id", evidence.table_score(F.col("text"), F.col("f")).alias("score"))
 
 
@@ -256,7 +262,7 @@ _BARE_LINES = "list_filter(list_transform(" + q.lines("text") + ", lambda x: " +
 
 @query(f"WITH s AS (SELECT doc_id, list_transform({_BARE_LINES}, lambda x: len(list_filter({_CELLS}, lambda z: z <> ''))) AS sizes FROM documents) SELECT doc_id, len(sizes) AS rows, coalesce(list_max(sizes), 0) AS cols FROM s")
 def table_shape(spark, d):
-    return _table(spark, d, "documents").select("doc_id", evidence.shape_of(F.col("text")).alias("s")).select("doc_id", "s.rows", "s.cols")
+    return _spread(_table(spark, d, "documents")).select("doc_id", evidence.shape_of(F.col("text")).alias("s")).select("doc_id", "s.rows", "s.cols")
 
 
 def _diagram() -> Column:
@@ -440,10 +446,10 @@ def graph_confidence(spark, d):
     return graphs.confidence(stats).select("item", F.round("graph_confidence", 3).alias("graph_confidence"))
 
 
-@query(f"WITH RECURSIVE {GRAPH}, rt AS (SELECT item, model, node, 1 AS depth FROM n WHERE NOT EXISTS (SELECT 1 FROM ed WHERE ed.item = n.item AND ed.model = n.model AND ed.target = n.node)), dp AS (SELECT * FROM rt UNION SELECT dp.item, dp.model, ed.target, dp.depth + 1 FROM dp JOIN ed ON dp.item = ed.item AND dp.model = ed.model AND dp.node = ed.source WHERE dp.depth < 5), md AS (SELECT item, model, node, min(depth) AS depth FROM dp GROUP BY ALL) SELECT n.item, n.model, n.node, CAST(coalesce(md.depth, n.node) AS INTEGER) AS depth FROM n LEFT JOIN md ON n.item = md.item AND n.model = md.model AND n.node = md.node")
+@query(f"WITH RECURSIVE {GRAPH}, rt AS (SELECT item, model, node, 1 AS depth FROM n WHERE NOT EXISTS (SELECT 1 FROM ed WHERE ed.item = n.item AND ed.model = n.model AND ed.target = n.node)), dp AS (SELECT * FROM rt UNION SELECT dp.item, dp.model, ed.target, dp.depth + 1 FROM dp JOIN ed ON dp.item = ed.item AND dp.model = ed.model AND dp.node = ed.source), md AS (SELECT item, model, node, min(depth) AS depth FROM dp GROUP BY ALL) SELECT n.item, n.model, n.node, CAST(coalesce(md.depth, n.node) AS INTEGER) AS depth FROM n LEFT JOIN md ON n.item = md.item AND n.model = md.model AND n.node = md.node")
 def node_depths(spark, d):
     nodes, edges, _ = _graph(spark, d)
-    return graphs.node_depths(nodes, edges, ["item", "model"], 4)
+    return graphs.node_depths(nodes, edges, ["item", "model"])
 
 
 # ---- decisions
@@ -458,7 +464,7 @@ def _items(spark: SparkSession, d: str) -> DataFrame:
         F.round(1 - F.avg("l_tax"), 4).alias("evidence_score"), F.round(1 - F.max("l_tax"), 4).alias("validator_score"), F.round(F.min("l_discount") * 8, 4).alias("hallucination_risk"), (F.max("l_linestatus") == "O").alias("has_seals"), F.round(F.min("l_quantity") / 10, 4).alias("seal_agreement"),
     )
     rows = rows.withColumn("models", (1 + F.col("item") % 3).cast("int")).withColumn("parsed", F.least("parsed0", "models")).withColumn("successes", F.col("parsed"))
-    nothing = F.lit(None).cast("struct<method:string,status:string,graph_confidence:double,edges:int,edge_errors:int,critical:int,inconsistent:int,position_nodes:int,low_text:int,low_edges:int>")
+    nothing = F.lit(None).cast("struct<method:string,status:string,graph_confidence:double,edges:int,edge_errors:int,critical:int,inconsistent:int,uneven:boolean,position_nodes:int,low_text:int,low_edges:int>")
     return rows.withColumns({"caption_agreement": F.lit(1.0), "stamp_mode": F.lit(False), "majority_type": F.lit("document"), "critical_errors": F.array().cast("array<string>"), "graph": nothing})
 
 

@@ -67,6 +67,9 @@ def test_equal_graphs_fuse_and_repeated_text_stays(spark):
 
 
 def test_unequal_counts_are_ambiguous(spark):
+    more = [*CHAIN, (0.4, 0.92, "more"), (0.4, 0.99, "most")]
+    item = fused(spark, [(more, ARROWS), (CHAIN, ARROWS), (CHAIN, ARROWS)])["items"].first()
+    assert (item.status, item.selected, item.inconsistent, item.uneven) == ("ambiguous", 4, 0, True)
     item = fused(spark, [([*CHAIN, (0.4, 0.95, "more")], ARROWS), (CHAIN, ARROWS)])["items"].first()
     assert (item.status, item.selected, item.inconsistent) == ("ambiguous", 4, 1)
 
@@ -144,12 +147,14 @@ def test_role_conflicts(spark):
 
 
 def test_waiver_and_gate(spark):
-    graph = "struct<method:string,status:string,graph_confidence:double,edges:int,edge_errors:int,critical:int,inconsistent:int,position_nodes:int,low_text:int,low_edges:int>"
+    graph = "struct<method:string,status:string,graph_confidence:double,edges:int,edge_errors:int,critical:int,inconsistent:int,uneven:boolean,position_nodes:int,low_text:int,low_edges:int>"
     schema = f"item string, models int, successes int, parsed int, type_agreement double, caption_agreement double, structure_agreement double, seal_agreement double, overall_score double, evidence_score double, validator_score double, hallucination_risk double, has_seals boolean, stamp_mode boolean, majority_type string, critical_errors array<string>, graph {graph}"
     good = (3, 3, 3, 1.0, 0.9, 0.95, 1.0, 0.95, 0.96, 0.97, 0.1, False, False, "flowchart", [])
-    rows = [("waived", *good, ("visual_order", "partial", 0.4978, 13, 0, 0, 0, 0, 0, 8)), ("fallback", *good, ("mermaid_fallback", "ambiguous", 0.6, 3, 0, 0, 0, 0, 0, 0)), ("none", *good, None), ("failed", 3, 0, 0, *good[3:], None)]
+    rows = [("waived", *good, ("visual_order", "partial", 0.4978, 13, 0, 0, 0, False, 0, 0, 8)), ("fallback", *good, ("mermaid_fallback", "ambiguous", 0.6, 3, 0, 0, 0, False, 0, 0, 0)), ("none", *good, None), ("failed", 3, 0, 0, *good[3:], None)]
     got = {r.item: r for r in decisions.decide(spark.createDataFrame(rows, schema)).collect()}
     assert {k: r.decision for k, r in got.items()} == {"waived": "accepted", "fallback": "review", "none": "review", "failed": "failed"}
+    uneven = spark.createDataFrame([("i", *good, ("visual_order", "partial", 0.75, 5, 0, 0, 0, True, 0, 5, 0))], schema)  # counts of 5, 3 and 3 nodes
+    assert "inconsistent_node_count" in decisions.decide(uneven).first().escalation_reasons
     assert got["none"].escalation_reasons == ["flowchart_without_graph_fusion"] and got["failed"].reasons[0] == "no models succeeded"
 
 
