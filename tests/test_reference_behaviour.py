@@ -9,7 +9,7 @@ from tessera.functions import geometry, text
 from tessera.functions.json_repair import first_object
 from tessera.functions.mermaid import graph_of
 from tessera.operators import decisions, evidence, graphs, seals, votes
-from tessera.sources import normalize, tasks
+from tessera.sources import clients, normalize, tasks
 
 NODE = "item string, model int, node bigint, order_index int, row_index int, col_index int, box array<double>, shape string, text string"
 EDGE = "item string, model int, position int, source bigint, target bigint, label string"
@@ -181,3 +181,65 @@ def test_clients_are_asked_again(spark):
 
     row = tasks.ask(asked, failing, "p", retries=2, wait=lambda s: None).first()
     assert not row.success and row.error == "RuntimeError: timeout (retries=2)"
+    waits = []
+    assert tasks.asked(lambda: failing({}, ""), 3, waits.append)[1].endswith("(retries=3)") and waits == [1.0, 2.0, 4.0]
+    lost = tasks.complete(asked, tasks.ask(asked, lambda r, p: "x", "p").filter("item = 'other'")).first()
+    assert (lost.item, lost.success, lost.error) == ("i", False, "Model call returned no result")
+
+
+def test_providers_say_what_they_lack(spark, monkeypatch):
+    for name in ("DASHSCOPE_API_KEY", "QWEN_API_KEY", "OPENAI_API_KEY", "MY_KEY"):
+        monkeypatch.delenv(name, raising=False)
+    own = {"provider": "openai_compatible", "name": "m", "supports_vision": "no"}
+    said = []
+    for more in ({}, {"supports_vision": None}, {"base_url": "http://x"}, {"api_key_env": " MY_KEY "}):
+        own |= more
+        said.append(clients.lacking(own))
+    assert said == ["Model config does not support vision input", "Missing base_url in model config", "Missing api_key_env in model config", "Missing API key: set MY_KEY"]
+    monkeypatch.setenv("MY_KEY", "k")
+    assert clients.lacking(own).startswith("OpenAI SDK is not installed") or clients.lacking(own) is None
+    assert clients.lacking({"provider": "qwen"}) == "Missing API key: set DASHSCOPE_API_KEY or QWEN_API_KEY" and clients.lacking({"provider": "mock"}) is None
+    monkeypatch.setenv("OPENAI_API_KEY", "k")
+    assert clients.lacking({"provider": "openai"}).endswith("OpenAI real API call is not fully implemented yet")
+    assert clients.setting({"t": "7"}, "t", int, 1) == 7 and clients.setting({"t": "x"}, "t", int, 1) == 1 and clients.setting({"b": "maybe"}, "b", bool, True) is True
+    assert clients.image_url("a/b.JPG", b"x") == "data:image/jpeg;base64,eA=="
+    with pytest.raises(ValueError):
+        clients.image_url("a.gif", b"x")
+    asked = spark.createDataFrame([("i", "p.png", 0, "m", "v", "s")], "item string, path string, place int, name string, vendor string, source_type string")
+    row = tasks.ask(asked, lambda r, p: clients.answer({"provider": "gemini"}, r["path"], p), "p", retries=2).first()
+    assert (row.success, row.error) == (False, "Missing API key: set GEMINI_API_KEY")
+
+
+MODELS = """models:
+  - {name: mock_vlm_a, provider: mock, enabled: true, vendor: " "}
+  - {name: mock_vlm_b, provider: Mock, enabled: true}
+  - {name: mock_vlm_c, provider: mock, enabled: false}
+  - {name: other, provider: qwen, enabled: false}
+  - {name: odd, provider: nobody, enabled: true}
+  - text
+"""
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tessera import __main__ as command
+
+    (tmp_path / "data").mkdir()
+    (tmp_path / "models.yaml").write_text(MODELS, encoding="utf-8")
+    (tmp_path / "prompts.yaml").write_text("default_prompt: ' describe '", encoding="utf-8")
+    words = ["--data-dir", f"{tmp_path}/data", "--output-dir", f"{tmp_path}/out", "--models-config", f"{tmp_path}/models.yaml", "--prompts-config", f"{tmp_path}/prompts.yaml", "--mock"]
+    assert command.run(spark, command.arguments(words)) == 0 and "No images found" in capsys.readouterr().out
+    for n in ("flow1.png", "table 2.JPG", "cat3.webp", "note.txt"):
+        (tmp_path / "data" / n).write_bytes(b"1")
+    (tmp_path / "out" / "per_image").mkdir(parents=True)
+    (tmp_path / "out" / "per_image" / "old.json").write_text("{}")
+    assert command.run(spark, command.arguments([*words, "--overwrite"])) == 0
+    assert "total images: 3" in capsys.readouterr().out
+    lines = [json.loads(x) for x in (tmp_path / "out" / "summary.jsonl").read_text(encoding="utf-8").splitlines()]
+    assert [x["file_name"] for x in lines] == ["cat3.webp", "flow1.png", "table 2.JPG"] and all(x["num_models"] == x["num_success"] == 3 and x["vendor"] == ["mock"] * 3 for x in lines)
+    whole = {p.stem: json.loads(p.read_text(encoding="utf-8")) for p in (tmp_path / "out" / "per_image").iterdir() if p.suffix == ".json" and not p.name.startswith(".")}
+    final = {p.stem: json.loads(p.read_text(encoding="utf-8")) for p in (tmp_path / "out" / "final_labels").iterdir() if p.suffix == ".json" and not p.name.startswith(".")}
+    assert set(whole) == set(final) == {x["item"] for x in lines}
+    flow, cat = (next(x for x in final.values() if x["file_name"] == n) for n in ("flow1.png", "cat3.webp"))
+    assert set(flow) == {"image_id", "file_name", "decision", "final_label_status", "final_label", "graph_fusion_status", "graph_confidence"} and flow["final_label"]["structured_label"]["kind"] == "mermaid"
+    assert set(cat) == {"image_id", "file_name", "decision", "final_label_status", "final_label"} and list(cat["final_label"]) == ["caption"]
+    assert len(whole[flow["image_id"]]["model_outputs"]) == 3 and whole[flow["image_id"]]["graph_fusion"]["enabled"] and whole[cat["image_id"]]["graph_fusion"]["reason"] == "not flowchart"
