@@ -44,15 +44,16 @@ def pairs(rows: DataFrame, keys: list[str], order: str, columns: list[str]) -> D
     return side("l").join(side("r"), keys).filter(F.col(f"l_{order}") < F.col(f"r_{order}"))
 
 
-def pairwise_mean(rows: DataFrame, keys: list[str], order: str, scores: dict[str, Callable[[Callable[[str], Column], Callable[[str], Column]], Column]], columns: list[str], single: float = 0.5) -> DataFrame:
-    """Mean of each score over an item's pairs; an item with one row gets `single`.
+def pairwise_mean(rows: DataFrame, keys: list[str], order: str, scores: dict[str, Callable[[Callable[[str], Column], Callable[[str], Column]], Column]], columns: list[str], single: float = 0.5, digits: int | None = 4) -> DataFrame:
+    """Mean of each score over an item's pairs, rounded to some digits or not; an item with one row gets `single`.
 
     A score takes two functions from a column's name to the left and right column.
     """
     scored = pairs(rows, keys, order, columns).select(*keys, *[f(lambda c: F.col(f"l_{c}"), lambda c: F.col(f"r_{c}")).alias(n) for n, f in scores.items()])
     means = scored.groupBy(*keys).agg(*[F.avg(n).alias(n) for n in scores])
     items = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    return items.join(means, keys, "left").select(*keys, "n_rows", *[F.round(F.coalesce(n, F.lit(single)), 4).alias(n) for n in scores])
+    shown = lambda c: c if digits is None else F.round(c, digits)
+    return items.join(means, keys, "left").select(*keys, "n_rows", *[shown(F.coalesce(n, F.lit(single))).alias(n) for n in scores])
 
 
 def range_similarity(rows: DataFrame, keys: list[str], value: str) -> DataFrame:

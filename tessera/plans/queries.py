@@ -166,12 +166,12 @@ def representative_shape(spark, d):
     return graphs.representative_shape(_claims(spark, d).withColumn("shape", _shape()), ["item"])
 
 
-_STRUCT = f"WITH {TURNS}, k AS (SELECT item, model, {q.strip('text')} AS text, role FROM c), {PREP.replace('FROM c', 'FROM k')}, {SIDES}, m AS (SELECT item, avg({q.text_sim('a', 'b')}) AS s FROM s GROUP BY item) SELECT t.item, 'text' AS majority_kind, round((0.6 + 0.4 * round(coalesce(m.s, 0.5), 4)) * CASE WHEN e THEN 0.6 ELSE 1.0 END, 4) AS structure_agreement FROM (SELECT item, bool_or(text = '') AS e FROM k GROUP BY item) t LEFT JOIN m ON t.item = m.item"
+_STRUCT = f"WITH {TURNS}, k AS (SELECT item, model, {q.strip('text')} AS text, role FROM c), {PREP.replace('FROM c', 'FROM k')}, {SIDES}, m AS (SELECT item, avg({q.text_sim('a', 'b')}) AS s FROM s GROUP BY item) SELECT t.item, 'text' AS majority_kind, round((0.6 + 0.4 * coalesce(m.s, 0.5)) * CASE WHEN e THEN 0.6 ELSE 1.0 END, 4) AS structure_agreement FROM (SELECT item, bool_or(text = '') AS e FROM k GROUP BY item) t LEFT JOIN m ON t.item = m.item"
 
 
 @query(_STRUCT)
 def structure_agreement(spark, d):
-    return agreement.structure_agreement(_turns(spark, d).select("item", "model", F.lit("text").alias("kind"), F.col("text").alias("content")))
+    return agreement.structure_agreement(_turns(spark, d).select("item", "model", F.lit("text").alias("kind"), F.col("text").alias("content"))).withColumn("structure_agreement", F.round("structure_agreement", 4))
 
 
 @query("WITH s AS (SELECT l_orderkey AS item, (l_returnflag = 'R')::INT AS stamp, l_tax * 10 AS t, l_discount * 10 AS c, l_quantity / 50 AS x, l_linenumber / 10 AS seal, l_partkey, l_linenumber, l_suppkey FROM lineitem) SELECT item, l_linenumber, l_partkey, l_suppkey, round(CASE WHEN stamp = 1 THEN 0.3 * t + 0.7 * seal ELSE 0.3 * t + 0.3 * c + 0.4 * x END, 3) AS overall, round(0.35 * x + 0.30 * c + 0.25 * t + 0.10 * (1 - seal), 3) AS accept FROM s")
@@ -521,3 +521,6 @@ def normalize_answers(spark, d):
 def reindex_graphs(spark, d):
     nodes, edges, _ = _graph(spark, d)
     return graphs.reindex(nodes, edges)[0].select("item", "model", "node", "row_index", "col_index", "shape", "text")
+
+
+from . import label_queries  # noqa: E402, F401  (registers its queries too)
