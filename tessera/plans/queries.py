@@ -233,7 +233,7 @@ def role_conflicts(spark, d):
     return evidence.role_conflicts(regions, ["item"]).withColumn("roles", F.array_join("roles", ","))
 
 
-@query(f"WITH s AS (SELECT doc_id, length({q.strip('text')}) AS n, (n_chars % 100) / 100 AS t, (n_chars % 89) / 89 AS u, length({q.compact('source')}) >= 4 AS sp FROM documents) SELECT doc_id, round(greatest(0.0, 1 - CASE WHEN n > 400 THEN 0.15 ELSE 0 END - CASE WHEN n > 800 THEN 0.2 ELSE 0 END - CASE WHEN t < 0.65 THEN 0.2 ELSE 0 END - CASE WHEN sp AND u < 0.65 THEN 0.15 ELSE 0 END), 4) AS caption_score, (n > 400)::INT + (t < 0.65)::INT + (sp AND u < 0.65)::INT AS n_warnings, (n > 800)::INT AS n_errors FROM s")
+@query(f"WITH s AS (SELECT doc_id, length({q.strip('text')}) AS n, (n_chars % 100) / 100 AS t, (n_chars % 89) / 89 AS u, length({q.compact('source')}) >= 4 AS sp FROM documents) SELECT doc_id, round(greatest(0.0, 1 - CASE WHEN n > 400 THEN 0.15 ELSE 0 END - CASE WHEN n > 800 THEN 0.2 ELSE 0 END - CASE WHEN t < 0.65 THEN 0.2 ELSE 0 END - CASE WHEN sp AND u < 0.65 THEN 0.15 ELSE 0 END), 4)::DOUBLE AS caption_score, (n > 400)::INT + (t < 0.65)::INT + (sp AND u < 0.65)::INT AS n_warnings, (n > 800)::INT AS n_errors FROM s")
 def caption_check(spark, d):
     rows = _table(spark, d, "documents").select("doc_id", F.col("text").alias("caption"), F.col("source").alias("subject"), ((F.col("n_chars") % 100) / 100).alias("title_similarity"), ((F.col("n_chars") % 89) / 89).alias("subject_similarity"))
     return evidence.caption_check(rows).select("doc_id", "caption_score", F.size("caption_warnings").alias("n_warnings"), F.size("caption_errors").alias("n_errors"))
