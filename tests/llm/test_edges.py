@@ -1,5 +1,6 @@
 """Nulls, repeated ids, bridges, races and bounds of the corpus operators, each against brute force where there is one."""
 
+import os
 import random
 import threading
 
@@ -177,3 +178,19 @@ def test_registered_queries_on_odd_tables(spark, tmp_path, name):
         spark.createDataFrame([(1, 1, 0), (2, 0, None), (None, None, 1), (1, 1, 0)][: 4 * k], "doc_id long, quality int, toxic int").write.parquet(f"{place}/labels.parquet")
         n = len(queries.QUERIES[name](spark, place).collect())
         assert n == len(rows) or name in many, (name, n)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
+@pytest.mark.parametrize("name", queries.ORACLES)
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for f in os.listdir(folder):
+        con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{folder}/{f}'")
+    cur = con.execute(queries.ORACLES[name])
+    names = [x[0] for x in cur.description]
+    df = queries.QUERIES[name](spark, folder)
+    assert sorted(df.columns) == sorted(names)
+    assert sorted(map(str, (tuple(r) for r in df.select(*names).collect()))) == sorted(map(str, cur.fetchall()))
