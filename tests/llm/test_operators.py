@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, bpe_codec, co_training, license_rules, lsh_forest, ngram_lm, packing, pii, quality_rules, rollups, threshold_topk
-from tessera.llm.elias_fano import BigramTrie, EliasFano, encode_monotone
+from tessera.llm.elias_fano import LEVELS, BigramTrie, EliasFano, encode_monotone, quantise
 from tessera.llm.queries import tokenizer_file
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -338,15 +338,24 @@ def test_language_model(docs, texts, none):
 
 def test_elias_fano(tmp_path):
     r = np.random.default_rng(1)
-    values = np.sort(r.integers(0, 10**6, 5000))
-    seq = EliasFano(encode_monotone(values, 10**6))
-    assert all((seq.slice(a, b) == values[a:b]).all() for a, b in ((0, 5000), (17, 18), (1023, 1025), (4990, 6000)))
-    assert seq.successor(int(values[700]), 600, 800) == np.searchsorted(values[600:800], values[700]) + 600
-    c, w = np.unique(r.integers(0, 300, (4000, 2)), axis=0).T.astype(np.uint64)
-    k = r.integers(1, 100, len(c))
-    BigramTrie.save(BigramTrie.build(c, w, k), str(tmp_path / "t"))
+    for n, universe in ((5000, 10**6), (1, 1 << 62), (300, 40), (4000, 1 << 63)):
+        values = np.sort(r.integers(0, universe, n, dtype=np.uint64)).astype(np.int64)
+        seq = EliasFano(encode_monotone(values, universe))
+        assert all((seq.slice(a, b) == values[a:b]).all() for a, b in ((0, n), (17, 18), (1023, 1025), (n - 10, n + 60)) if 0 <= a < n)
+        asked = np.concatenate((values, values + 1, values - 1, r.integers(0, universe, 500, dtype=np.uint64).astype(np.int64)))
+        asked = asked[asked >= 0]
+        place, same = seq.successors(asked)
+        assert (place == np.searchsorted(values, asked)).all() and (same == np.isin(asked, values)).all()
+    assert [len(x) for x in EliasFano(encode_monotone(np.zeros(0, np.int64), 9)).successors(np.array([3]))] == [1, 1]
+    c, w = np.unique(r.integers(0, 300, (4000, 2)), axis=0).T.astype(np.int64)
+    p, weight = r.random(len(c)), r.random(len(np.unique(c)))
+    BigramTrie.save(BigramTrie.build(c, w, p, weight), str(tmp_path / "t"))
     trie = BigramTrie.open(str(tmp_path / "t"))
-    assert (trie.find_sorted(c, w) == k).all() and trie.find(int(c[5]), int(w[5])) == k[5] and trie.find(10**6, 1) == 0
+    code, own = trie.find(c, w)
+    assert (code == quantise(p)).all() and (own == quantise(weight)[np.searchsorted(np.unique(c), c)]).all()
+    absent = np.array([(a, b) for a in range(300) for b in range(300) if (a, b) not in set(zip(c.tolist(), w.tolist(), strict=True))][:500])
+    assert not trie.find(absent[:, 0], absent[:, 1])[0].any() and trie.find(np.array([10**6]), np.array([1]))[1] == 0
+    assert (np.abs(np.log(LEVELS[quantise(p)] / p)) < 0.07).all() and LEVELS.max() == 1 and quantise(np.array([0.0])) == 0
 
 
 def test_top_k(spark):
