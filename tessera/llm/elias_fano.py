@@ -45,10 +45,18 @@ class EliasFano:
         out = np.empty(len(k), np.int64)
         for i in range(0, len(k), TOGETHER):
             own = k[i : i + TOGETHER]
-            word = np.searchsorted(total, own, side="right")
-            before = np.where(word > 0, total[np.maximum(word - 1, 0)], 0)
-            bits = np.unpackbits(np.ascontiguousarray(self.upper[word]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little") == one
-            out[i : i + TOGETHER] = 64 * word + (np.cumsum(bits, axis=1, dtype=np.int8) > (own - before)[:, None]).argmax(axis=1)
+            at = np.searchsorted(total, own, side="right")
+            rest = own - np.where(at > 0, total[np.maximum(at - 1, 0)], 0)
+            word, place = np.asarray(self.upper[at]), 64 * at
+            word = word if one else ~word
+            for width in (32, 16, 8, 4, 2, 1):  # by halves, by their numbers of ones
+                half = word & np.uint64((1 << width) - 1)
+                there = np.bitwise_count(half)
+                up = rest >= there
+                place += width * up
+                rest = rest - there * up
+                word = np.where(up, word >> np.uint64(width), half)
+            out[i : i + TOGETHER] = place
         return out
 
     def _low(self, i: np.ndarray) -> np.ndarray:
@@ -173,11 +181,17 @@ class BigramTrie:
         code, weight = np.zeros(len(context), np.uint8), np.zeros(len(context), np.uint8)
         if not len(self.contexts) or not len(context):
             return code, weight
-        i, known = self.contexts.successors(context)
+        run = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))  # a context's pairs mostly stand together
+        many = np.diff(np.append(run, len(context)))
+        own, there = self.contexts.successors(context[run])
+        own[~there] = 0
+        begin, end = self.pointers.at(own), self.pointers.at(own + 1)
+        i, known, begin, end = (np.repeat(x, many) for x in (own, there, begin, end))
         weight[known] = np.asarray(self.weights)[i[known]]
-        w, there = self.words.successors(word)
+        distinct, inverse = np.unique(word, return_inverse=True)
+        w, there = (x[inverse] for x in self.words.successors(distinct))
         both = np.flatnonzero(known & there)
         place, hit = self.following.successors(i[both] * len(self.words) + w[both])
-        hit[hit] = (place[hit] >= self.pointers.at(i[both[hit]])) & (place[hit] < self.pointers.at(i[both[hit]] + 1))
+        hit &= (place >= begin[both]) & (place < end[both])
         code[both[hit]] = np.asarray(self.codes)[place[hit]]
         return code, weight
