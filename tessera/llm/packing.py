@@ -40,7 +40,7 @@ from .bpe import encoder
 from .frames import documents, per_block, written
 
 #: Groups of large lengths, with the share of a sequence above which a length is large. The plan with the fewest sequences is taken.
-SETTINGS = ((240, 1 / 4), (160, 1 / 8))
+SETTINGS = ((320, 1 / 4), (160, 1 / 8))
 #: Further settings are tried while the plan is so much above the least that all lengths together need.
 CLOSE = 1.003
 #: Configurations are optimal but for half a sequence, or this share of them.
