@@ -273,13 +273,13 @@ def _diagram() -> Column:
 _DIA = "(CASE WHEN p_size % 2 = 0 THEN 'flowchart TD' || chr(10) ELSE '' END || 'A' || p_partkey || '[' || p_name || ']' || CASE WHEN p_size % 3 = 0 THEN ' ==> ' ELSE ' --> ' END || 'B(\"' || p_brand || '\")' || chr(10) || 'C{' || p_type || '} -.-> A')"
 
 
-@query("SELECT p_partkey, 2 AS arrows, CASE WHEN p_name = p_brand OR p_brand = p_type OR p_name = p_type THEN 2 ELSE 3 END AS nodes, p_name AS first_node, round(1 - CASE WHEN p_size % 2 = 0 THEN 0 ELSE 0.45 END - CASE WHEN p_size % 2 = 0 THEN 0 ELSE 0.2 END, 4) AS score FROM part")
+@query("SELECT p_partkey, 2 AS arrows, CASE WHEN p_name = p_brand OR p_brand = p_type OR p_name = p_type THEN 2 ELSE 3 END AS nodes, p_name AS first_node, CAST(round(1 - CASE WHEN p_size % 2 = 0 THEN 0 ELSE 0.45 END - CASE WHEN p_size % 2 = 0 THEN 0 ELSE 0.2 END, 4) AS DOUBLE) AS score FROM part")
 def diagram_check(spark, d):
     p = _table(spark, d, "part").withColumn("content", _diagram())
     return p.select("p_partkey", text.arrow_count(F.col("content")).alias("arrows"), F.size(evidence.node_texts(F.col("content"))).alias("nodes"), evidence.node_texts(F.col("content"))[0].alias("first_node"), evidence.diagram_score(F.col("content")).alias("score"))
 
 
-@query("SELECT l_orderkey AS item, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_returnflag = 'R' THEN 1.0 WHEN l_linestatus = 'F' THEN CASE WHEN l_linenumber > 3 THEN 0.8 ELSE 0.4 END ELSE CASE WHEN l_quantity > 25 THEN 0.35 ELSE 0.85 END END AS score FROM lineitem")
+@query("SELECT l_orderkey AS item, l_linenumber, l_partkey, l_suppkey, CAST(CASE WHEN l_returnflag = 'R' THEN 1.0 WHEN l_linestatus = 'F' THEN CASE WHEN l_linenumber > 3 THEN 0.8 ELSE 0.4 END ELSE CASE WHEN l_quantity > 25 THEN 0.35 ELSE 0.85 END END AS DOUBLE) AS score FROM lineitem")
 def structure_scores(spark, d):
     rows = _table(spark, d, "lineitem").select(F.col("l_orderkey").alias("item"), "l_linenumber", "l_partkey", "l_suppkey", F.when(F.col("l_linestatus") == "F", "text").otherwise("none").alias("kind"), F.when(F.col("l_linenumber") > 3, "x").otherwise(" ").alias("content"), F.when(F.col("l_quantity") > 25, "chart").otherwise("document").alias("type"), (F.col("l_returnflag") == "R").alias("stamp"))
     return rows.select("item", "l_linenumber", "l_partkey", "l_suppkey", evidence.structure_score(F.col("kind"), F.col("content"), F.col("type"), F.col("stamp"), F.lit(0.0)).alias("score"))
