@@ -14,7 +14,8 @@ from .sources import clients, sinks, tasks
 
 def arguments(words: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tessera", description="Ask several models about images and reconcile what they say.")
-    for name, default in (("data-dir", "data"), ("output-dir", "outputs"), ("models-config", "configs/models.yaml"), ("prompts-config", "configs/prompts.yaml")):
+    for name, default in (("data-dir", "data"), ("output-dir", "outputs"), ("models-config", "configs/models.yaml"),
+        ("prompts-config", "configs/prompts.yaml")):
         parser.add_argument(f"--{name}", default=default)
     parser.add_argument("--mock", action="store_true", help="ask mock models only")
     parser.add_argument("--overwrite", action="store_true", help="delete files of an earlier run first")

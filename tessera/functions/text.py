@@ -142,7 +142,8 @@ def phrase_similarity(a: Column, b: Column) -> Column:
 
 def title_similarity(a: Column, b: Column, a_bare: Column, b_bare: Column) -> Column:
     """Titles may differ in their numbered prefix; a_bare and b_bare are prepared without it (with it where nothing else is left)."""
-    return _blanks(a.form, b.form).when(a.form == b.form, 1.0).when((a.bare_form != "") & (a.bare_form == b.bare_form), 1.0).otherwise(phrase_similarity(a_bare, b_bare))
+    return _blanks(a.form, b.form).when(a.form == b.form, 1.0).when((a.bare_form != "") & (a.bare_form == b.bare_form),
+        1.0).otherwise(phrase_similarity(a_bare, b_bare))
 
 
 def bare_or_whole(text: Column) -> Column:
@@ -152,7 +153,8 @@ def bare_or_whole(text: Column) -> Column:
 def alignment_score(a: Column, b: Column) -> Column:
     """Containment decides by itself; otherwise keywords and bigrams."""
     best = let(text_similarity(a, b), lambda chars: F.greatest(0.6 * keyword_similarity(a, b) + 0.4 * chars, chars))
-    return F.when((a.form == "") | (b.form == ""), 0.0).when(a.form == b.form, 1.0).when(contained(a.compact, b.compact), 0.45 + 0.5 * length_ratio(a.compact, b.compact)).otherwise(best)
+    return F.when((a.form == "") | (b.form == ""), 0.0).when(a.form == b.form, 1.0).when(contained(a.compact, b.compact),
+        0.45 + 0.5 * length_ratio(a.compact, b.compact)).otherwise(best)
 
 
 def evidence_prepared(text: Column) -> Column:
@@ -161,7 +163,8 @@ def evidence_prepared(text: Column) -> Column:
 
 
 def _evidence_parts(text: Column, squash: Column) -> Column:
-    return F.struct(squash.alias("squash"), F.regexp_replace(squash, NOT_COMPACT, "").alias("compact"), bigrams(squash).alias("grams"), tokens(F.lower(blank(text))).alias("words"), characters(squash).alias("chars"), has_cjk(text).alias("cjk"))
+    return F.struct(squash.alias("squash"), F.regexp_replace(squash, NOT_COMPACT, "").alias("compact"), bigrams(squash).alias("grams"),
+        tokens(F.lower(blank(text))).alias("words"), characters(squash).alias("chars"), has_cjk(text).alias("cjk"))
 
 
 def evidence_similarity(a: Column, b: Column) -> Column:

@@ -74,12 +74,14 @@ def node_depths(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> DataFram
 
     def measure(batches):
         for batch in batches:
-            batch["d"] = [list(_depths([x["node"] for x in n], [x["order_index"] for x in n], _ends(e)).items()) for n, e in zip(batch["n"], batch["e"], strict=True)]
+            batch["d"] = [list(_depths([x["node"] for x in n], [x["order_index"] for x in n], _ends(e)).items()) for n,
+                e in zip(batch["n"], batch["e"], strict=True)]
             batch["d"] = [[{"node": n, "depth": d} for n, d in own] for own in batch["d"]]
             yield batch[[*keys, "d"]]
 
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + f", d array<struct<node:{kinds['node']},depth:int>>"
-    return _drawn(nodes, edges, keys, ["node", "order_index"]).mapInPandas(measure, schema).select(*keys, F.explode("d").alias("x")).select(*keys, "x.node", "x.depth")
+    return _drawn(nodes, edges, keys, ["node", "order_index"]).mapInPandas(measure, schema).select(*keys,
+        F.explode("d").alias("x")).select(*keys, "x.node", "x.depth")
 
 
 def _sweep(rows: list[tuple[float, float, float, int, tuple[float, float] | None, float]]) -> list[int]:
@@ -92,7 +94,8 @@ def _sweep(rows: list[tuple[float, float, float, int, tuple[float, float] | None
         joins = members > 0 and abs(y - mean) <= near
         if members and not joins and span and bounds:
             shared, short = min(span[1], bounds[1]) - max(span[0], bounds[0]), min(span[1] - span[0], bounds[1] - bounds[0])
-            joins = shared > 0 and short > 0 and shared / short >= 0.35 and abs(y - mean) <= max(near, 0.08) and abs(raw - (span[0] + span[1]) / 2) <= max(near, 0.08)
+            joins = shared > 0 and short > 0 and shared / short >= 0.35 and abs(y - mean) <= max(near,
+                0.08) and abs(raw - (span[0] + span[1]) / 2) <= max(near, 0.08)
         if joins:
             members += 1
             mean += (y - mean) / members
@@ -118,7 +121,8 @@ def reindex(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     order = f"o: {'bigint' if 'bigint' in (kinds['node'], kinds['order_index']) else kinds['node']}"
     schema = f"item {kinds['item']}, model {kinds['model']}, n array<struct<{order}, {listed}>>, p {placed}"
     done = _drawn(nodes, edges, keys, own).mapInPandas(number, schema).select(*keys, F.explode(F.arrays_zip("n", "p")).alias("z"))
-    done = done.select(*keys, F.col("z.n.node").alias("old"), F.col("z.p.node").alias("node"), F.col("z.p.node").cast("int").alias("order_index"), "z.p.row_index", "z.p.col_index", "z.n.box", "z.n.shape", "z.n.text")
+    done = done.select(*keys, F.col("z.n.node").alias("old"), F.col("z.p.node").alias("node"),
+        F.col("z.p.node").cast("int").alias("order_index"), "z.p.row_index", "z.p.col_index", "z.n.box", "z.n.shape", "z.n.text")
     end = lambda name: done.select(*keys, F.col("old").alias(name), F.col("node").alias(f"new_{name}"))
     moved = edges.join(end("source"), [*keys, "source"]).join(end("target"), [*keys, "target"])
     other = [c for c in edges.columns if c not in (*keys, "source", "target")]
@@ -164,15 +168,19 @@ def select_nodes(nodes: DataFrame, graphs: DataFrame) -> DataFrame:
     spread = hi - lo
     chosen = F.when(lo == 0, 0).when(k == 2, lo).otherwise(mth)
     inconsistent = F.when(lo == 0, hi).when(k == 2, spread).otherwise(mth - lo)
-    status = F.when(lo == 0, "failed").when(k == 2, F.when(spread > 0, "ambiguous").otherwise("fused")).when(spread >= 2, "ambiguous").when(mth > lo, "partial").otherwise("fused")
-    return per.filter("models >= 2").select("item", "models", chosen.cast("int").alias("selected"), status.alias("status"), inconsistent.cast("int").alias("inconsistent"))
+    status = F.when(lo == 0, "failed").when(k == 2, F.when(spread > 0, "ambiguous").otherwise("fused")).when(spread >= 2,
+        "ambiguous").when(mth > lo, "partial").otherwise("fused")
+    return per.filter("models >= 2").select("item", "models", chosen.cast("int").alias("selected"), status.alias("status"),
+        inconsistent.cast("int").alias("inconsistent"))
 
 
 def consistency(votes: DataFrame, keys: list[str], text: str = "text", order: str = "model") -> DataFrame:
     """Mean bigram likeness of an item's texts that are not blank; 1 for up to one."""
-    own = votes.withColumn("form", vote_form(F.col(text))).filter("form <> ''").select(*keys, F.col(order).alias("o"), "form", bigrams(F.col("form")).alias("grams"))
+    own = votes.withColumn("form", vote_form(F.col(text))).filter("form <> ''").select(*keys, F.col(order).alias("o"), "form",
+        bigrams(F.col("form")).alias("grams"))
     left, right = (own.select(*keys, F.col("o").alias(f"{s}o"), F.col("form").alias(f"{s}f"), F.col("grams").alias(f"{s}g")) for s in "ab")
-    pairs = left.join(right, keys).filter("ao < bo").select(*keys, F.when(F.col("af") == F.col("bf"), 1.0).otherwise(jaccard(F.col("ag"), F.col("bg"), 1.0)).alias("s"))
+    pairs = left.join(right, keys).filter("ao < bo").select(*keys,
+        F.when(F.col("af") == F.col("bf"), 1.0).otherwise(jaccard(F.col("ag"), F.col("bg"), 1.0)).alias("s"))
     means = pairs.groupBy(*keys).agg(F.round(F.avg("s"), 4).alias("s"))
     return votes.select(*keys).distinct().join(means, keys, "left").select(*keys, F.coalesce("s", F.lit(1.0)).alias("text_consistency"))
 
@@ -191,7 +199,8 @@ def representative(votes: DataFrame, keys: list[str], text: str = "text", allow_
 def representative_shape(votes: DataFrame, keys: list[str], shape: str = "shape") -> DataFrame:
     """The shape with most votes; unknown only if alone, then by name."""
     place = Window.partitionBy(*keys).orderBy(F.desc("n"), F.col(shape) == "unknown", shape)
-    return votes.groupBy(*keys, shape).agg(F.count(F.lit(1)).alias("n")).withColumn("r", F.row_number().over(place)).filter("r = 1").select(*keys, F.col(shape).alias("representative_shape"))
+    return votes.groupBy(*keys, shape).agg(F.count(F.lit(1)).alias("n")).withColumn("r",
+        F.row_number().over(place)).filter("r = 1").select(*keys, F.col(shape).alias("representative_shape"))
 
 
 # ---- votes about one node or edge, as an array with an entry for each annotator's claim
@@ -227,7 +236,9 @@ def spoken(votes: Column) -> Column:
 def shape_spoken(shapes: Column) -> Column:
     """representative_shape() of an array."""
     distinct = F.array_sort(F.array_distinct(shapes))
-    counted = F.transform(distinct, lambda s, i: F.struct(F.size(F.filter(shapes, lambda x: x == s)).alias("n"), (s != "unknown").alias("known"), (-i).alias("first"), s.alias("s")))
+    counted = F.transform(distinct, lambda s,
+        i: F.struct(F.size(F.filter(shapes, lambda x: x == s)).alias("n"), (s != "unknown").alias("known"), (-i).alias("first"),
+            s.alias("s")))
     return F.array_max(counted).s
 
 
@@ -238,44 +249,55 @@ def fuse_nodes(nodes: DataFrame, chosen: DataFrame) -> DataFrame:
     said = F.filter("votes", lambda x: x.t != "")
     support = F.size(F.array_distinct(F.transform("votes", lambda x: x.model)))
     return per.select(
-        "item", "node", support.alias("support"), F.round(support / F.col("models"), 4).alias("confidence"), agreement_of(F.col("votes")).alias("text_consistency"),
-        F.coalesce(spoken(said), F.lit("")).alias("representative_text"), F.coalesce(shape_spoken(F.transform("votes", lambda x: x.shape)), F.lit("unknown")).alias("representative_shape"), (F.size(said) > 0).alias("has_text"),
+        "item", "node", support.alias("support"), F.round(support / F.col("models"), 4).alias("confidence"),
+        agreement_of(F.col("votes")).alias("text_consistency"),
+        F.coalesce(spoken(said), F.lit("")).alias("representative_text"),
+        F.coalesce(shape_spoken(F.transform("votes", lambda x: x.shape)), F.lit("unknown")).alias("representative_shape"),
+        (F.size(said) > 0).alias("has_text"),
     )
 
 
 def edge_claims(edges: DataFrame, chosen: DataFrame) -> DataFrame:
     """Edges between selected nodes, once for each annotator, ends and label."""
     kept = edges.join(chosen.select("item", "models", "selected"), "item").filter("source <= selected AND target <= selected")
-    return kept.withColumn("label", strip(F.col("label"))).groupBy("item", "models", "model", "source", "target", "label").agg(F.min("position").alias("position"))
+    return kept.withColumn("label", strip(F.col("label"))).groupBy("item", "models", "model", "source", "target",
+        "label").agg(F.min("position").alias("position"))
 
 
 def fuse_edges(edges: DataFrame, chosen: DataFrame) -> DataFrame:
     """Edges with their votes: item, source, target, support, confidence, label_consistency, label, fused (whether a majority has it)."""
     claims = edge_claims(edges, chosen)
-    per = claims.groupBy("item", "source", "target", "models").agg(F.array_sort(F.collect_list(F.struct("model", "position", *vote(F.col("label"))))).alias("votes"))
+    per = claims.groupBy("item", "source", "target",
+        "models").agg(F.array_sort(F.collect_list(F.struct("model", "position", *vote(F.col("label"))))).alias("votes"))
     support = F.size(F.array_distinct(F.transform("votes", lambda x: x.model)))
     return per.select(
         "item", "source", "target", support.alias("support"), F.round(support / F.col("models"), 4).alias("confidence"),
-        agreement_of(F.col("votes")).alias("label_consistency"), spoken(F.col("votes")).alias("label"), (support >= support_needed(F.col("models"))).alias("fused"),
+        agreement_of(F.col("votes")).alias("label_consistency"), spoken(F.col("votes")).alias("label"),
+        (support >= support_needed(F.col("models"))).alias("fused"),
     )
 
 
 def direction_conflicts(edges: DataFrame, chosen: DataFrame) -> DataFrame:
     """Pairs of nodes joined in both directions: item, a, b. Loops have one direction."""
-    ends = edge_claims(edges, chosen).select("item", F.least("source", "target").alias("a"), F.greatest("source", "target").alias("b"), (F.col("source") < F.col("target")).alias("up"))
+    ends = edge_claims(edges, chosen).select("item", F.least("source", "target").alias("a"), F.greatest("source", "target").alias("b"),
+        (F.col("source") < F.col("target")).alias("up"))
     return ends.groupBy("item", "a", "b").agg(F.count_distinct("up").alias("n")).filter("n > 1").select("item", "a", "b")
 
 
 def alignment(nodes: DataFrame, chosen: DataFrame) -> DataFrame:
     """Pairs of claims for a node that disagree: item, node, left, right, kind (row, col, shape, far: warnings; position: an error)."""
-    own = nodes.join(chosen.select("item", "selected"), "item").filter("node <= selected").select("item", "node", "model", F.struct("row_index", "col_index", "shape", "box").alias("x"))
-    both = own.withColumnRenamed("model", "left").withColumnRenamed("x", "a").join(own.withColumnRenamed("model", "right").withColumnRenamed("x", "b"), ["item", "node"]).filter(F.col("left") < F.col("right"))
+    own = nodes.join(chosen.select("item", "selected"), "item").filter("node <= selected").select("item", "node", "model",
+        F.struct("row_index", "col_index", "shape", "box").alias("x"))
+    both = own.withColumnRenamed("model", "left").withColumnRenamed("x",
+        "a").join(own.withColumnRenamed("model", "right").withColumnRenamed("x", "b"),
+        ["item", "node"]).filter(F.col("left") < F.col("right"))
     gap = lambda c: F.coalesce(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")), F.lit(0))
     boxes = F.col("a.box").isNotNull() & F.col("b.box").isNotNull()
     far = center_distance(F.col("a.box"), F.col("b.box"))
     known = (F.col("a.shape") != "unknown") & (F.col("b.shape") != "unknown") & (F.col("a.shape") != F.col("b.shape"))
     apart = boxes & (far > 0.28) & (iou(F.col("a.box"), F.col("b.box")) < 0.05) & ((gap("row_index") > 1) | (gap("col_index") > 1))
-    kinds = F.array_compact(F.array(F.when(gap("row_index") > 1, F.lit("row")), F.when(gap("col_index") > 1, F.lit("col")), F.when(known, F.lit("shape")), F.when(boxes & (far > 0.20), F.lit("far")), F.when(apart, F.lit("position"))))
+    kinds = F.array_compact(F.array(F.when(gap("row_index") > 1, F.lit("row")), F.when(gap("col_index") > 1, F.lit("col")),
+            F.when(known, F.lit("shape")), F.when(boxes & (far > 0.20), F.lit("far")), F.when(apart, F.lit("position"))))
     return both.select("item", "node", "left", "right", F.explode(kinds).alias("kind"))
 
 
@@ -283,18 +305,22 @@ def prunable(fused: DataFrame, edges: DataFrame, chosen: DataFrame) -> DataFrame
     """Nodes to drop: not claimed by all, hardly consistent, without a fused edge but with one of low support. One pass is the fixed point."""
     ends = edges.select("item", F.explode(F.array("source", "target")).alias("node"), "fused")
     degree = ends.groupBy("item", "node").agg(F.count_if("fused").alias("strong"), F.count_if(~F.col("fused")).alias("weak"))
-    return fused.join(chosen.select("item", "models"), "item").join(degree, ["item", "node"]).filter((F.col("support") < F.col("models")) & (F.col("text_consistency") < ORPHAN) & (F.col("strong") == 0) & (F.col("weak") > 0)).select("item", "node")
+    return fused.join(chosen.select("item", "models"), "item").join(degree,
+        ["item", "node"]).filter((F.col("support") < F.col("models")) & (F.col("text_consistency") < ORPHAN) & (F.col("strong") == 0) & (
+            F.col("weak") > 0)).select("item", "node")
 
 
 def prune(fused: DataFrame, edges: DataFrame, chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
     gone = prunable(fused, edges, chosen)
-    kept = edges.join(gone.withColumnRenamed("node", "source"), ["item", "source"], "left_anti").join(gone.withColumnRenamed("node", "target"), ["item", "target"], "left_anti")
+    kept = edges.join(gone.withColumnRenamed("node", "source"), ["item", "source"],
+        "left_anti").join(gone.withColumnRenamed("node", "target"), ["item", "target"], "left_anti")
     return fused.join(gone, ["item", "node"], "left_anti"), kept.select(edges.columns)
 
 
 def confidence(stats: DataFrame) -> DataFrame:
     """graph_confidence from node_support, edge_support, text, label (means), status, fallback, and the counts of errors, low_edges, low_text, critical, edges, nodes, inconsistent and models."""
-    base = 0.45 * F.coalesce("node_support", F.lit(0.0)) + 0.25 * F.coalesce("edge_support", F.lit(0.0)) + 0.20 * F.coalesce("text", F.lit(1.0)) + 0.10 * F.coalesce("label", F.lit(1.0))
+    base = 0.45 * F.coalesce("node_support", F.lit(0.0)) + 0.25 * F.coalesce("edge_support", F.lit(0.0)) + 0.20 * F.coalesce("text",
+        F.lit(1.0)) + 0.10 * F.coalesce("label", F.lit(1.0))
     capped = lambda most, each, n: F.least(F.lit(most), F.lit(each) * F.col(n))
     penalty = (
         F.when(F.col("fallback"), 0.18).otherwise(0.0)
@@ -315,11 +341,19 @@ def fuse(nodes: DataFrame, edges: DataFrame, graphs: DataFrame) -> dict[str, Dat
     voted, claimed = materialized(fuse_nodes(nodes, chosen), "nodes"), materialized(fuse_edges(edges, chosen), "edges")
     fused, claims = (materialized(x, "kept") for x in prune(voted, claimed, chosen))
     gone = voted.select("item", "node").join(fused.select("item", "node"), ["item", "node"], "left_anti")
-    conflicts = alignment(nodes, chosen).filter("kind = 'position'").join(gone, ["item", "node"], "left_anti").groupBy("item").agg(F.count_distinct("node", "left", "right").alias("position_errors"))
-    turned = direction_conflicts(edges, chosen).join(gone.withColumnRenamed("node", "a"), ["item", "a"], "left_anti").join(gone.withColumnRenamed("node", "b"), ["item", "b"], "left_anti").groupBy("item").agg(F.count(F.lit(1)).alias("turned"))
-    outside = edges.join(chosen, "item").filter("source > selected OR target > selected").groupBy("item").agg(F.count_distinct("model", "source", "target").alias("outside"))
-    node_stats = fused.groupBy("item").agg(F.count(F.lit(1)).alias("nodes"), F.avg("confidence").alias("node_support"), F.avg("text_consistency").alias("text"), F.count_if(F.col("has_text") & (F.col("text_consistency") < LOW)).alias("low_text"))
-    edge_stats = claims.groupBy("item").agg(F.count_if("fused").alias("edges"), F.avg(F.when(F.col("fused"), F.col("confidence"))).alias("edge_support"), F.avg(F.when(F.col("fused"), F.col("label_consistency"))).alias("label"), F.count_if(~F.col("fused")).alias("low_edges"))
+    conflicts = alignment(nodes, chosen).filter("kind = 'position'").join(gone, ["item", "node"],
+        "left_anti").groupBy("item").agg(F.count_distinct("node", "left", "right").alias("position_errors"))
+    turned = direction_conflicts(edges, chosen).join(gone.withColumnRenamed("node", "a"), ["item", "a"],
+        "left_anti").join(gone.withColumnRenamed("node", "b"), ["item", "b"],
+        "left_anti").groupBy("item").agg(F.count(F.lit(1)).alias("turned"))
+    outside = edges.join(chosen,
+        "item").filter("source > selected OR target > selected").groupBy("item").agg(F.count_distinct("model", "source",
+            "target").alias("outside"))
+    node_stats = fused.groupBy("item").agg(F.count(F.lit(1)).alias("nodes"), F.avg("confidence").alias("node_support"),
+        F.avg("text_consistency").alias("text"), F.count_if(F.col("has_text") & (F.col("text_consistency") < LOW)).alias("low_text"))
+    edge_stats = claims.groupBy("item").agg(F.count_if("fused").alias("edges"),
+        F.avg(F.when(F.col("fused"), F.col("confidence"))).alias("edge_support"),
+        F.avg(F.when(F.col("fused"), F.col("label_consistency"))).alias("label"), F.count_if(~F.col("fused")).alias("low_edges"))
     source = graphs.groupBy("item").agg(F.bool_or("weak").alias("fallback"), (F.max("parse_errors") > 0).alias("broken"))
     rows = chosen.join(source, "item")
     for part in (node_stats, edge_stats, conflicts, turned, outside):
@@ -329,23 +363,36 @@ def fuse(nodes: DataFrame, edges: DataFrame, graphs: DataFrame) -> dict[str, Dat
     first = F.when((F.col("models") == 2) & (F.col("position_errors") > 0), "ambiguous").otherwise(F.col("status"))
     first = F.when(F.col("status") == "failed", "failed").when(F.col("fallback"), "ambiguous").otherwise(first)
     failed = F.col("selected") == 0
-    rows = rows.withColumns({"uneven": uneven, "critical": F.col("broken").cast("int") + 2 * failed.cast("int"), "edge_errors": F.col("turned") + F.col("outside"), "node_errors": F.col("position_errors") + uneven.cast("int"), "status": first})
-    rows = rows.withColumn("status", F.when((F.col("status") == "fused") & ((F.col("edges") == 0) | (F.col("edge_errors") > 0)), "partial").otherwise(F.col("status"))).withColumn("errors", F.col("node_errors") + F.col("edge_errors"))
+    rows = rows.withColumns({"uneven": uneven, "critical": F.col("broken").cast("int") + 2 * failed.cast("int"),
+            "edge_errors": F.col("turned") + F.col("outside"), "node_errors": F.col("position_errors") + uneven.cast("int"),
+            "status": first})
+    rows = rows.withColumn("status",
+        F.when((F.col("status") == "fused") & ((F.col("edges") == 0) | (F.col("edge_errors") > 0)),
+            "partial").otherwise(F.col("status"))).withColumn("errors", F.col("node_errors") + F.col("edge_errors"))
     rows = confidence(rows)
-    rows = rows.withColumn("status", F.when((F.col("status") == "fused") & (F.col("graph_confidence") < 0.70), "partial").when((F.col("status") == "fused") & (F.col("critical") > 0), "failed").otherwise(F.col("status")))
+    rows = rows.withColumn("status",
+        F.when((F.col("status") == "fused") & (F.col("graph_confidence") < 0.70),
+            "partial").when((F.col("status") == "fused") & (F.col("critical") > 0), "failed").otherwise(F.col("status")))
     rows = confidence(rows.drop("graph_confidence")).withColumn("method", F.when(F.col("fallback"), "mermaid_fallback").otherwise("visual_order"))
     return {"items": rows, "nodes": fused, "edges": claims, "mermaid": mermaid(fused, claims.filter("fused"))}
 
 
 def mermaid(fused: DataFrame, edges: DataFrame) -> DataFrame:
     """item and its diagram text: nodes in order, then edges by the order of their ends."""
-    text = F.replace(F.when(strip(F.col("representative_text")) != "", strip(F.col("representative_text"))).otherwise(node_name(F.col("node"))), F.lit('"'), F.lit("&quot;"))
+    text = F.replace(F.when(strip(F.col("representative_text")) != "",
+            strip(F.col("representative_text"))).otherwise(node_name(F.col("node"))), F.lit('"'), F.lit("&quot;"))
     shape = F.col("representative_shape")
     lead = F.when(shape == "diamond", '{"').when(shape == "rounded", '("').when(shape == "ellipse", '(("').otherwise('["')
     tail = F.when(shape == "diamond", '"}').when(shape == "rounded", '")').when(shape == "ellipse", '"))').otherwise('"]')
-    drawn = fused.select("item", F.struct(F.lit(0).alias("k"), F.col("node").cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.concat(node_name(F.col("node")), lead, text, tail).alias("line")).alias("l"))
+    drawn = fused.select("item",
+        F.struct(F.lit(0).alias("k"), F.col("node").cast("long").alias("a"), F.lit(0).cast("long").alias("b"),
+            F.concat(node_name(F.col("node")), lead, text, tail).alias("line")).alias("l"))
     label = strip(F.col("label"))
-    arrow = F.when(label != "", F.concat(F.lit(" -->|"), F.replace(F.replace(label, F.lit('"'), F.lit("&quot;")), F.lit("|"), F.lit("/")), F.lit("| "))).otherwise(" --> ")
-    joined = edges.select("item", F.struct(F.lit(1).alias("k"), F.col("source").cast("long").alias("a"), F.col("target").cast("long").alias("b"), F.concat(node_name(F.col("source")), arrow, node_name(F.col("target"))).alias("line")).alias("l"))
+    arrow = F.when(label != "",
+        F.concat(F.lit(" -->|"), F.replace(F.replace(label, F.lit('"'), F.lit("&quot;")), F.lit("|"), F.lit("/")),
+            F.lit("| "))).otherwise(" --> ")
+    joined = edges.select("item",
+        F.struct(F.lit(1).alias("k"), F.col("source").cast("long").alias("a"), F.col("target").cast("long").alias("b"),
+            F.concat(node_name(F.col("source")), arrow, node_name(F.col("target"))).alias("line")).alias("l"))
     ordered = F.transform(F.array_sort(F.collect_list("l")), lambda x: x.line)
     return drawn.union(joined).groupBy("item").agg(F.concat(F.lit("flowchart TD\n"), F.array_join(ordered, "\n")).alias("mermaid"))

@@ -22,13 +22,16 @@ def tally(claims: DataFrame, keys: list[str], value: str, order: str) -> DataFra
 def majority(claims: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
     """keys, value (the modal one, of equals the first claimed), votes, total and ratio."""
     best = F.max_by(F.col(value), F.struct("n", -F.col("first")))
-    return tally(claims, keys, value, order).groupBy(*keys).agg(best.alias(value), F.max("n").alias("votes"), F.sum("n").alias("total")).withColumn("ratio", F.round(F.col("votes") / F.col("total"), 4))
+    return tally(claims, keys, value, order).groupBy(*keys).agg(best.alias(value), F.max("n").alias("votes"),
+        F.sum("n").alias("total")).withColumn("ratio", F.round(F.col("votes") / F.col("total"), 4))
 
 
 def first_modal(values: Column) -> Column:
     """The modal element of a short ordered array, of equals the first; null for none."""
     distinct = F.array_distinct(values)
-    counted = F.transform(distinct, lambda v: F.struct(F.size(F.filter(values, lambda w: w == v)).alias("n"), (-F.array_position(values, v)).alias("first"), v.alias("v")))
+    counted = F.transform(distinct,
+        lambda v: F.struct(F.size(F.filter(values, lambda w: w == v)).alias("n"), (-F.array_position(values, v)).alias("first"),
+            v.alias("v")))
     return F.array_max(counted).v
 
 
@@ -44,7 +47,9 @@ def pairs(rows: DataFrame, keys: list[str], order: str, columns: list[str]) -> D
     return side("l").join(side("r"), keys).filter(F.col(f"l_{order}") < F.col(f"r_{order}"))
 
 
-def pairwise_mean(rows: DataFrame, keys: list[str], order: str, scores: dict[str, Callable[[Callable[[str], Column], Callable[[str], Column]], Column]], columns: list[str], single: float = 0.5, digits: int | None = 4) -> DataFrame:
+def pairwise_mean(rows: DataFrame, keys: list[str], order: str,
+    scores: dict[str, Callable[[Callable[[str], Column], Callable[[str], Column]], Column]], columns: list[str], single: float = 0.5,
+    digits: int | None = 4) -> DataFrame:
     """Mean of each score over an item's pairs, rounded to some digits or not; an item with one row gets `single`.
 
     A score takes two functions from a column's name to the left and right column.
@@ -59,7 +64,8 @@ def pairwise_mean(rows: DataFrame, keys: list[str], order: str, scores: dict[str
 def range_similarity(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """How close the smallest value comes to the largest; one value alone counts half."""
     stats = rows.groupBy(*keys).agg(F.count(value).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
-    score = F.when(F.col("n") == 0, 0.0).when(F.col("n") == 1, 0.5).when(F.col("hi") == 0, F.when(F.col("lo") == 0, 1.0).otherwise(0.0)).otherwise(1 - (F.col("hi") - F.col("lo")) / F.col("hi"))
+    score = F.when(F.col("n") == 0, 0.0).when(F.col("n") == 1, 0.5).when(F.col("hi") == 0,
+        F.when(F.col("lo") == 0, 1.0).otherwise(0.0)).otherwise(1 - (F.col("hi") - F.col("lo")) / F.col("hi"))
     return stats.select(*keys, "n", F.round(score, 4).alias("similarity"))
 
 

@@ -29,7 +29,10 @@ def bare(x: str) -> str:
 
 
 def grams(f: str) -> str:
-    return f"CASE WHEN {f} = '' THEN []::VARCHAR[] ELSE list_distinct(list_transform(range(1, greatest(length({f}), 2)), lambda i: substr({f}, i, 2))) END"
+    return f"""
+        CASE WHEN {f} = '' THEN []::VARCHAR[] ELSE list_distinct(list_transform(range(1, greatest(length({f}), 2)),
+            lambda i: substr({f}, i, 2))) END
+    """
 
 
 def words(f: str) -> str:
@@ -59,7 +62,9 @@ def more(n: str) -> str:
 
 
 def text_sim(a: str, b: str) -> str:
-    return f"CASE WHEN {a}_form = '' OR {b}_form = '' THEN 0.0 WHEN {a}_form = {b}_form THEN 1.0 ELSE {jaccard(a + '_grams', b + '_grams')} END"
+    return f"""
+        CASE WHEN {a}_form = '' OR {b}_form = '' THEN 0.0 WHEN {a}_form = {b}_form THEN 1.0 ELSE {jaccard(a + '_grams', b + '_grams')} END
+    """
 
 
 def keyword_sim(a: str, b: str) -> str:
@@ -73,7 +78,10 @@ def blanks(a: str, b: str, rest: str) -> str:
 def phrase_sim(a: str, b: str) -> str:
     inside = f"CASE WHEN {contained(a + '_compact', b + '_compact')} THEN 0.45 + 0.5 * {ratio(a + '_compact', b + '_compact')} ELSE 0.0 END"
     chars = f"({text_sim(a, b)})"
-    return f"CASE WHEN {a}_form = '' OR {b}_form = '' THEN 0.0 WHEN {a}_form = {b}_form THEN 1.0 ELSE greatest({inside}, 0.6 * ({keyword_sim(a, b)}) + 0.4 * {chars}, {chars}) END"
+    return f"""
+        CASE WHEN {a}_form = '' OR {b}_form = '' THEN 0.0 WHEN {a}_form = {b}_form THEN 1.0 ELSE greatest({inside},
+          0.6 * ({keyword_sim(a, b)}) + 0.4 * {chars}, {chars}) END
+    """
 
 
 def title_sim(a: str, b: str, a2: str, b2: str) -> str:
@@ -82,14 +90,22 @@ def title_sim(a: str, b: str, a2: str, b2: str) -> str:
 
 def align_sim(a: str, b: str) -> str:
     chars = f"({text_sim(a, b)})"
-    return f"CASE WHEN {a}_form = '' OR {b}_form = '' THEN 0.0 WHEN {a}_form = {b}_form THEN 1.0 WHEN {contained(a + '_compact', b + '_compact')} THEN 0.45 + 0.5 * {ratio(a + '_compact', b + '_compact')} ELSE greatest(0.6 * ({keyword_sim(a, b)}) + 0.4 * {chars}, {chars}) END"
+    return f"""
+        CASE WHEN {a}_form = '' OR {b}_form = '' THEN 0.0 WHEN {a}_form = {b}_form THEN 1.0
+        WHEN {contained(a + '_compact', b + '_compact')} THEN 0.45 + 0.5 * {ratio(a + '_compact', b + '_compact')}
+        ELSE greatest(0.6 * ({keyword_sim(a, b)}) + 0.4 * {chars}, {chars}) END
+    """
 
 
 def evidence_sim(a: str, b: str) -> str:
     """Of columns *_squash, *_compact, *_grams and *_words; texts without ideographs."""
     short, r = f"least(length({a}_compact), length({b}_compact))", ratio(a + "_compact", b + "_compact")
     inside = f"CASE WHEN {short} <= 2 THEN 0.25 + 0.25 * {r} WHEN {short} <= 4 THEN 0.45 + 0.2 * {r} ELSE 0.65 + 0.25 * {r} END"
-    return f"CASE WHEN {a}_squash = '' OR {b}_squash = '' THEN 0.0 WHEN {a}_squash = {b}_squash THEN 1.0 WHEN {contained(a + '_compact', b + '_compact')} THEN {inside} ELSE greatest({jaccard(a + '_words', b + '_words', 1.0)}, {jaccard(a + '_grams', b + '_grams', 1.0)}) END"
+    return f"""
+        CASE WHEN {a}_squash = '' OR {b}_squash = '' THEN 0.0 WHEN {a}_squash = {b}_squash THEN 1.0
+        WHEN {contained(a + '_compact', b + '_compact')} THEN {inside} ELSE greatest({jaccard(a + '_words', b + '_words', 1.0)},
+          {jaccard(a + '_grams', b + '_grams', 1.0)}) END
+    """
 
 
 def vote_form(x: str) -> str:

@@ -27,7 +27,8 @@ def ship(spark: SparkSession) -> None:
     if app in _shipped:
         return
     _shipped.add(app)
-    if str(ROOT) in {os.path.abspath(p) for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p} and spark.sparkContext.master.startswith("local"):
+    if str(ROOT) in {os.path.abspath(p) for p in [os.getcwd(),
+            *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p} and spark.sparkContext.master.startswith("local"):
         return
     place = Path(os.path.realpath(tempfile.mkdtemp())) / "tessera_package.zip"
     with zipfile.ZipFile(place, "w") as z:

@@ -111,9 +111,11 @@ def image_url(path: str, content: bytes | None = None) -> str:
 
 def chat(config: dict, path: str, prompt: str) -> str:
     """One call of an OpenAI-compatible service, for which all needs are met."""
-    made = import_module("openai").OpenAI(api_key=os.environ[setting(config, "api_key_env", str)], base_url=setting(config, "base_url", str), timeout=setting(config, "timeout", int, 120))
+    made = import_module("openai").OpenAI(api_key=os.environ[setting(config, "api_key_env", str)],
+        base_url=setting(config, "base_url", str), timeout=setting(config, "timeout", int, 120))
     parts = [{"type": "text", "text": prompt}, {"type": "image_url", "image_url": {"url": image_url(path)}}]
-    said = made.chat.completions.create(model=setting(config, "name", str), messages=[{"role": "user", "content": parts}], max_tokens=setting(config, "max_tokens", int, 4096), temperature=setting(config, "temperature", float, 0.0))
+    said = made.chat.completions.create(model=setting(config, "name", str), messages=[{"role": "user", "content": parts}],
+        max_tokens=setting(config, "max_tokens", int, 4096), temperature=setting(config, "temperature", float, 0.0))
     return str(said.choices[0].message.content)
 
 
