@@ -10,8 +10,9 @@ neighbours in the order, which are those with the longest common prefixes, so
 that the depth adapts to the region. Pairs whose signatures agree well enough
 are candidates.
 
-Candidates are confirmed on full sets: first each node's best one, then all
-whose nodes are not connected by then. These only order the work: at last every
+Candidates are confirmed on full sets: first each node's best one, then a few
+of each component whose nodes are not connected by then, so that the links of a
+crowded group stay in proportion to it. These only order the work: at last every
 region with nodes of several components compares all of their signatures, and
 each well-agreeing pair that could join two components is confirmed or refused
 on full sets. Components are computed over the confirmed links.
@@ -44,7 +45,7 @@ from .textcore import U64, WORD, Block, mix
 WORDS = 5
 MINIMA, TREES, DEPTH = 128, 16, 4
 STEP = MINIMA // TREES
-# SMALL, BEST, HUBS and REGION only choose which pairs are confirmed first; left_apart() compares all the others.
+# SMALL, BEST, HUBS, FURTHER and REGION only choose which pairs are confirmed first; left_apart() compares all the others.
 #: Signatures compared with one another at once; in crowded regions half of them stay for the next.
 REGION = 1024
 #: Regions in which every pair may be a candidate.
@@ -53,6 +54,8 @@ SMALL = 24
 BLOCK = 512
 #: Candidates of a node by agreement, and nodes with the most candidates that keep all of theirs, in a crowded region.
 BEST, HUBS = 3, 8
+#: Further candidates of a component that each node's best one leaves apart, drawn by hash: more than join it only cost time.
+FURTHER = 8
 _random = np.random.Generator(np.random.PCG64(20240607))
 FACTORS = _random.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * U64(2) + U64(1)
 
@@ -369,6 +372,17 @@ def left_apart(docs: DataFrame, rows: DataFrame, roots: DataFrame, sets: DataFra
     return written(in_regions(chosen, joining_links, ("a", "b"), percent / 100, percent), "joining")
 
 
+def best_of(pairs: DataFrame, *keys: str) -> DataFrame:
+    """Distinct pairs (a, b) that agree best among those of some key."""
+    most = pairs.groupBy(*keys).agg(F.max(F.struct("agree", -F.col("a"), -F.col("b"))).alias("m"))
+    return most.select((-F.col("m.col2")).alias("a"), (-F.col("m.col3")).alias("b")).distinct()
+
+
+def grown(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Links (a, b) of the components so far, one for each node, and those that join them."""
+    return roots.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(links.select("a", "b"))
+
+
 def linked(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """(node, component) of nodes (node, at, signature) that are linked with others."""
     spark, places, held = docs.sparkSession, nodes.select("node", "at"), []
@@ -383,22 +397,20 @@ def linked(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     rows = keep(orders(nodes.select("node", "signature")), "orders")
     pairs = keep(candidates(rows, percent / 100), "candidates")
     sets = keep(sets_of(docs, keep(few(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(places, "node")), "wanted")), "sets")
-    # Each node's best candidate comes first; the others only where it leaves nodes apart.
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "agree")
-    best = ends.groupBy("node").agg(F.max(F.struct("agree", -F.col("a"), -F.col("b"))).alias("m")).select((-F.col("m.col2")).alias("a"), (-F.col("m.col3")).alias("b")).distinct()
-    best = keep(few(best), "best")
-    links = keep(confirmed(best, sets, percent), "confirmed")
-    roots = components(links)
+    # Each node's best candidate comes first, then a few of each component that is apart from others by then.
+    best = keep(few(best_of(pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "agree"), "node")), "best")
+    roots = components(keep(confirmed(best, sets, percent), "confirmed"))
     root = lambda side: roots.select(F.col("node").alias(side), F.col("component").alias(f"root_{side}"))
-    apart = pairs.select("a", "b").join(root("a"), "a", "left").join(root("b"), "b", "left").filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
-    more = keep(confirmed(apart, sets, percent), "confirmed")
+    split = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left").withColumns({"root_a": F.coalesce("root_a", "a"), "root_b": F.coalesce("root_b", "b")})
+    apart = split.filter("root_a <> root_b").join(best, ["a", "b"], "left_anti")
+    ends = apart.select(F.explode(F.array("root_a", "root_b")).alias("root"), F.pmod(F.xxhash64("a", "b"), F.lit(FURTHER)).alias("draw"), "a", "b", "agree")
+    more = keep(confirmed(keep(few(best_of(ends, "root", "draw")), "further"), sets, percent), "confirmed")
     if not more.isEmpty():
-        links = links.union(more)
-        roots = components(links)
-    # What was not a candidate so far is compared where its nodes are still apart.
+        roots = components(grown(roots, more))
+    # All other pairs are compared where their nodes are still apart.
     rest = left_apart(docs, rows, roots, sets, places, percent)
     if rest is not None and not rest.isEmpty():
-        roots = components(links.union(rest))
+        roots = components(grown(roots, rest))
     for df in held:
         forget(df)
     return roots

@@ -282,6 +282,33 @@ def test_near_duplicates_join_dense_groups(spark):
     assert len(set(want)) == 7 and [got[i].component_id for i in range(len(made))] == want
 
 
+def near_copies(n):
+    """Texts of one template, each with two words of its own: all are linked at 0.85."""
+    r = random.Random(5)
+    out = []
+    for i in range(n):
+        w = [f"t{k}" for k in range(300)]
+        for k in r.sample(range(10, 290), 2):
+            w[k] = f"own{i}.{k}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_links_of_a_crowded_group_are_in_proportion_to_it(spark, monkeypatch):
+    """One way through a group of near copies is enough: no multiple of its pairs is carried on."""
+    real, seen = lsh_forest.components, []
+
+    def counted(edges, *names):
+        seen.append(edges.count())
+        return real(edges, *names)
+
+    monkeypatch.setattr(lsh_forest, "components", counted)
+    made = near_copies(400)
+    got = lsh_forest.near_duplicates(spark.createDataFrame([(i, t, "en", "s", 1, "x") for i, t in enumerate(made)], COLUMNS)).collect()
+    assert {x.component_id for x in got} == {0} and len(got) == len(made)
+    assert max(seen) <= 3 * len(made), seen
+
+
 def test_every_pair_of_a_crowded_region_is_compared(spark):
     """3,000 signatures of one region; those that agree well are far apart in every order."""
     r = np.random.default_rng(11)
