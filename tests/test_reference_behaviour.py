@@ -173,6 +173,13 @@ def test_tasks_and_models(spark, tmp_path):
     assert sorted(r.reason for r in tasks.usable_models(configs)[1].collect()) == ["invalid", "unsupported"] and bad.count() == 0
 
 
+def test_long_data_urls_have_no_line_breaks(spark):
+    import base64
+
+    content = bytes(range(256)) * 3
+    assert value(spark, tasks.data_url(F.lit("a.webp"), F.lit(bytearray(content)))) == "data:image/webp;base64," + base64.b64encode(content).decode()
+
+
 def test_clients_are_asked_again(spark):
     asked = spark.createDataFrame([("i", "p", 0, "m", "v", "s")], "item string, path string, place int, name string, vendor string, source_type string")
 
