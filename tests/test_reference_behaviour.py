@@ -108,6 +108,32 @@ def test_json_repair():
     assert first_object("nothing") == (None, False)
 
 
+def test_whole_objects_are_not_read_by_the_character():
+    import time
+
+    long = json.dumps({"a": ["x, {y}\\"] * 300_000})
+    begun = time.process_time()
+    assert first_object("so: " + long + " end") == (long, False) and time.process_time() - begun < 1
+    assert first_object('{"a":"x"\\') == (None, False) and first_object('{"a":"x\\') == ('{"a":"x"}', True)
+
+
+def test_diagrams_without_breaks_are_one_piece():
+    import time
+
+    text = "A[" + "t" * 3_000_000 + "] --> B"
+    begun = time.process_time()
+    assert graph_of(text)["edges"] == [("A", "B", "")] and time.process_time() - begun < 1.5
+    assert [n[1] for n in graph_of("A[a;b] --> B[c\nd]; C['x']")["nodes"]] == ["a;b", "c d", "'x'"]
+
+
+def test_answers_of_small_tables_are_spread(spark, tmp_path):
+    from tessera.plans import label_queries
+
+    spark.sql("SELECT 1L AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 't' AS p_type, 1 AS p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    assert label_queries._field_answers(spark, str(tmp_path)).rdd.getNumPartitions() >= cores
+
+
 def normalised(spark, *answers):
     rows = [("i", k, True, a if a is None or isinstance(a, str) else json.dumps(a, ensure_ascii=False), None) for k, a in enumerate(answers)]
     made = normalize.normalize(spark.createDataFrame(rows, "item string, model int, success boolean, raw_text string, error string"))
