@@ -11,8 +11,15 @@ edges: item, model, position, source, target (node numbers), label
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
+from operator import itemgetter
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.geometry import center_distance, iou
 from ..functions.text import bigrams, blank, jaccard, strip, visible_score, vote_form
@@ -64,23 +71,42 @@ def _drawn(nodes: DataFrame, edges: DataFrame, keys: list[str], columns: list[st
     return nodes.groupBy(*keys).agg(listed.alias("n")).join(ends, keys, "left")
 
 
-def _ends(edges) -> list[tuple[int, int]]:
-    return [] if edges is None else [(e["source"], e["target"]) for e in edges]
+def _flat(lists: pa.Array) -> tuple[list[int], list[pa.Array]]:
+    """The size of each list of structs, and the structs' fields as flat arrays. A null list is empty."""
+    return pc.fill_null(pc.list_value_length(lists), 0).to_pylist(), lists.flatten().flatten()
+
+
+def _each(batch: pa.RecordBatch) -> Iterator[tuple[list, list[tuple[int, int]]]]:
+    """The nodes of each graph of a batch of _drawn() as a list for each column, and the ends of its edges."""
+    sizes, fields = _flat(batch["n"])
+    columns = [f.to_pylist() for f in fields[1:]]
+    counts, (sources, targets) = _flat(batch["e"])
+    ends = list(zip(sources.to_pylist(), targets.to_pylist(), strict=True))
+    at = to = 0
+    for size, count in zip(sizes, counts, strict=True):
+        yield [c[at : at + size] for c in columns], ends[to : to + count]
+        at, to = at + size, to + count
+
+
+def _lists(sizes: Iterable[int], **columns: pa.Array) -> pa.Array:
+    """Lists of structs, from flat columns and the lists' sizes."""
+    return pa.ListArray.from_arrays(pa.array([0, *accumulate(sizes)], pa.int32()), pa.StructArray.from_arrays(list(columns.values()), list(columns)))
 
 
 def node_depths(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
     """keys, node, depth: the depths that reindex() uses."""
     kinds = {f.name: f.dataType.simpleString() for f in nodes.schema}
+    number = to_arrow_type(nodes.schema["node"].dataType)
 
     def measure(batches):
         for batch in batches:
-            batch["d"] = [list(_depths([x["node"] for x in n], [x["order_index"] for x in n], _ends(e)).items()) for n,
-                e in zip(batch["n"], batch["e"], strict=True)]
-            batch["d"] = [[{"node": n, "depth": d} for n, d in own] for own in batch["d"]]
-            yield batch[[*keys, "d"]]
+            found = [_depths(node, order, ends) for (node, order), ends in _each(batch)]
+            flat = [x for own in found for x in own.items()]
+            d = _lists(map(len, found), node=pa.array([n for n, _ in flat], number), depth=pa.array([x for _, x in flat], pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(batch[k] for k in keys), d], [*keys, "d"])
 
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + f", d array<struct<node:{kinds['node']},depth:int>>"
-    return _drawn(nodes, edges, keys, ["node", "order_index"]).mapInPandas(measure, schema).select(*keys,
+    return _drawn(nodes, edges, keys, ["node", "order_index"]).mapInArrow(measure, schema).select(*keys,
         F.explode("d").alias("x")).select(*keys, "x.node", "x.depth")
 
 
@@ -114,13 +140,16 @@ def reindex(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def number(batches):
         for batch in batches:
-            batch["p"] = [_place(n, _ends(e)) for n, e in zip(batch["n"], batch["e"], strict=True)]
-            yield batch[[*keys, "n", "p"]]
+            made = [_place(*columns[:5], ends) for columns, ends in _each(batch)]
+            flat = lambda i: [x for own in made for x in own[i]]
+            p = _lists((len(own[0]) for own in made), node=pa.array(flat(0), pa.int64()), row_index=pa.array(flat(1), pa.int32()),
+                col_index=pa.array(flat(2), pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(batch[k] for k in keys), batch["n"], p], [*keys, "n", "p"])
 
     listed = ", ".join(f"{c}: {kinds[c]}" for c in own)
     order = f"o: {'bigint' if 'bigint' in (kinds['node'], kinds['order_index']) else kinds['node']}"
     schema = f"item {kinds['item']}, model {kinds['model']}, n array<struct<{order}, {listed}>>, p {placed}"
-    done = _drawn(nodes, edges, keys, own).mapInPandas(number, schema).select(*keys, F.explode(F.arrays_zip("n", "p")).alias("z"))
+    done = _drawn(nodes, edges, keys, own).mapInArrow(number, schema).select(*keys, F.explode(F.arrays_zip("n", "p")).alias("z"))
     done = done.select(*keys, F.col("z.n.node").alias("old"), F.col("z.p.node").alias("node"),
         F.col("z.p.node").cast("int").alias("order_index"), "z.p.row_index", "z.p.col_index", "z.n.box", "z.n.shape", "z.n.text")
     end = lambda name: done.select(*keys, F.col("old").alias(name), F.col("node").alias(f"new_{name}"))
@@ -129,28 +158,29 @@ def reindex(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return done.drop("old"), moved.select(*keys, F.col("new_source").alias("source"), F.col("new_target").alias("target"), *other)
 
 
-def _place(nodes: list[dict], edges: list[tuple[int, int]]) -> list[dict]:
+def _place(node: list, order_index: list, row_index: list, col_index: list, box: list, edges: list[tuple[int, int]]) -> tuple[list, list, list]:
     """New number, row and column of each of a graph's nodes, in the nodes' order."""
-    depth = _depths([n["node"] for n in nodes], [n["order_index"] for n in nodes], edges)
+    depth = _depths(node, order_index, edges)
     some = []
-    for i, n in enumerate(nodes):
-        order = n["order_index"] or n["node"] or 10**9
-        if n["box"] is not None:
-            left, top, right, bottom = map(float, n["box"])
+    for i, (n, o, r, c, b) in enumerate(zip(node, order_index, row_index, col_index, box, strict=True)):
+        order = o or n or 10**9
+        if b is not None:
+            left, top, right, bottom = b
             raw, x, height, bounds = (top + bottom) / 2, (left + right) / 2, max(0.0, bottom - top), (top, bottom)
         else:
-            raw, x, height, bounds = 0.1 * (n["row_index"] or n["order_index"] or n["node"] or 10**6), 0.1 * (n["col_index"] or 1), 0.0, None
-        y = raw + 0.12 * max(0, depth[n["node"]] - 1)
-        some.append(((round(y, 4), round(x, 4), order, f"N{n['node']:03d}"), i, (y, raw, height, order, bounds, x)))
-    some.sort(key=lambda s: s[0])
-    rows = _sweep([s[2] for s in some])
-    ranked = sorted(zip(rows, some, strict=True), key=lambda t: (t[0], t[1][0][1], t[1][0][0], t[1][0][2], t[1][0][3]))
-    out: list[dict] = [{}] * len(nodes)
-    column = dict.fromkeys(rows, 0)
-    for number, (row, (_, i, _)) in enumerate(ranked, 1):
-        column[row] += 1
-        out[i] = {"node": number, "row_index": row, "col_index": column[row]}
-    return out
+            raw, x, height, bounds = 0.1 * (r or o or n or 10**6), 0.1 * (c or 1), 0.0, None
+        y = raw + 0.12 * max(0, depth[n] - 1)
+        some.append((round(y, 4), round(x, 4), order, f"N{n:03d}", i, (y, raw, height, order, bounds, x)))
+    some.sort(key=itemgetter(0, 1, 2, 3))
+    rows = _sweep([s[5] for s in some])
+    ranked = sorted((row, s[1], s[0], s[2], s[3], k) for k, (row, s) in enumerate(zip(rows, some, strict=True)))
+    numbers, placed, columns = [0] * len(node), [0] * len(node), [0] * len(node)
+    last = column = 0
+    for number, (row, *_, k) in enumerate(ranked, 1):
+        column, last = column + 1 if row == last else 1, row
+        i = some[k][4]
+        numbers[i], placed[i], columns[i] = number, row, column
+    return numbers, placed, columns
 
 
 # ---- voting
@@ -161,7 +191,10 @@ def select_nodes(nodes: DataFrame, graphs: DataFrame) -> DataFrame:
 
     Two graphs share the smaller number; of more, a node needs a majority, which the m-th largest number gives.
     """
-    counts = graphs.select("item", "model").join(nodes.groupBy("item", "model").agg(F.count(F.lit(1)).alias("n")), ["item", "model"], "left").fillna(0, ["n"])
+    # Dealt out by item alone, so that one exchange serves both groupings.
+    claims = graphs.select("item", "model", F.lit(1).alias("drawn"), F.lit(0).alias("n")).unionByName(nodes.select("item", "model",
+            F.lit(0).alias("drawn"), F.lit(1).alias("n"))).repartition("item")
+    counts = claims.groupBy("item", "model").agg(F.max("drawn").alias("drawn"), F.sum("n").alias("n")).filter("drawn = 1")
     per = counts.groupBy("item").agg(F.count(F.lit(1)).cast("int").alias("models"), F.sort_array(F.collect_list("n"), asc=False).alias("c"))
     k = F.col("models")
     hi, lo, mth = F.col("c")[0], F.element_at("c", -1), F.element_at("c", support_needed(k))
@@ -301,20 +334,21 @@ def alignment(nodes: DataFrame, chosen: DataFrame) -> DataFrame:
     return both.select("item", "node", "left", "right", F.explode(kinds).alias("kind"))
 
 
-def prunable(fused: DataFrame, edges: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Nodes to drop: not claimed by all, hardly consistent, without a fused edge but with one of low support. One pass is the fixed point."""
+def marked(fused: DataFrame, edges: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Nodes with a column `gone`: not claimed by all, hardly consistent, without a fused edge but with one of low support. One pass is the fixed point."""
     ends = edges.select("item", F.explode(F.array("source", "target")).alias("node"), "fused")
     degree = ends.groupBy("item", "node").agg(F.count_if("fused").alias("strong"), F.count_if(~F.col("fused")).alias("weak"))
-    return fused.join(chosen.select("item", "models"), "item").join(degree,
-        ["item", "node"]).filter((F.col("support") < F.col("models")) & (F.col("text_consistency") < ORPHAN) & (F.col("strong") == 0) & (
-            F.col("weak") > 0)).select("item", "node")
+    gone = (F.col("support") < F.col("models")) & (F.col("text_consistency") < ORPHAN) & (F.col("strong") == 0) & (F.col("weak") > 0)
+    return fused.join(chosen.select("item", "models"), "item").join(degree, ["item", "node"], "left").select(*fused.columns,
+        F.coalesce(gone, F.lit(False)).alias("gone"))
 
 
 def prune(fused: DataFrame, edges: DataFrame, chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
-    gone = prunable(fused, edges, chosen)
+    nodes = marked(fused, edges, chosen)
+    gone = nodes.filter("gone").select("item", "node")
     kept = edges.join(gone.withColumnRenamed("node", "source"), ["item", "source"],
         "left_anti").join(gone.withColumnRenamed("node", "target"), ["item", "target"], "left_anti")
-    return fused.join(gone, ["item", "node"], "left_anti"), kept.select(edges.columns)
+    return nodes.filter("NOT gone").drop("gone"), kept.select(edges.columns)
 
 
 def confidence(stats: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry, text
 from ..operators import agreement, decisions, evidence, graphs, labels, seals, votes
+from ..session import materialized
 from ..sources import normalize, tasks
 from . import sql as q
 
@@ -838,7 +839,7 @@ PRUNE = """
 @query(f"WITH {GRAPH}, {NODES}, {EDGES}, {PRUNE} SELECT item, node FROM fn EXCEPT SELECT * FROM gone")
 def graph_prune(spark, d):
     nodes, edges, drawn = _graph(spark, d)
-    chosen = graphs.select_nodes(nodes, drawn)
+    chosen = materialized(graphs.select_nodes(nodes, drawn), "chosen")
     return graphs.prune(graphs.fuse_nodes(nodes, chosen), graphs.fuse_edges(edges, chosen), chosen)[0].select("item", "node")
 
 
@@ -879,7 +880,7 @@ def graph_alignment(spark, d):
 """)
 def graph_mermaid(spark, d):
     nodes, edges, drawn = _graph(spark, d)
-    chosen = graphs.select_nodes(nodes, drawn)
+    chosen = materialized(graphs.select_nodes(nodes, drawn), "chosen")
     return graphs.mermaid(graphs.fuse_nodes(nodes, chosen), graphs.fuse_edges(edges, chosen).filter("fused"))
 
 
@@ -903,7 +904,7 @@ def graph_mermaid(spark, d):
 """)
 def graph_confidence(spark, d):
     nodes, edges, drawn = _graph(spark, d)
-    chosen = graphs.select_nodes(nodes, drawn)
+    chosen = materialized(graphs.select_nodes(nodes, drawn), "chosen")
     fused, claims = graphs.fuse_nodes(nodes, chosen), graphs.fuse_edges(edges, chosen)
     ns = fused.groupBy("item").agg(F.count(F.lit(1)).alias("nodes"), F.avg("confidence").alias("node_support"),
         F.avg("text_consistency").alias("text"), F.count_if(F.col("text_consistency") < graphs.LOW).alias("low_text"))
