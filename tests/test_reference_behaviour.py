@@ -92,6 +92,28 @@ def test_swapped_ids_are_realigned(spark):
     assert {r.node: (r.representative_text, r.text_consistency) for r in out["nodes"].collect()} == {1: ("top", 1.0), 2: ("left", 1.0), 3: ("right", 1.0)}
 
 
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_graphs_are_chosen_in_one_exchange_and_pruned_in_one_pass(spark):
+    nodes, edges, drawn = frames(spark, [(CHAIN, ARROWS), (CHAIN[:3], ARROWS[:2]), ([], [])])
+    chosen = graphs.select_nodes(nodes, drawn)
+    assert chosen._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
+    assert [tuple(r) for r in chosen.collect()] == [("i", 3, 0, "failed", 4)]
+    voted = spark.createDataFrame([("i", 1, 1, 0.3333, 0.1), ("i", 2, 1, 0.3333, 0.1)], "item string, node bigint, support int, confidence double, text_consistency double").repartition(3)
+    claims = spark.createDataFrame([("i", 1, 1, False)], "item string, source bigint, target bigint, fused boolean")
+    kept = graphs.prune(voted, claims, spark.createDataFrame([("i", 3)], "item string, models int"))[0]
+    assert plan(kept).count("Repartition 3") == 1 and [r.node for r in kept.collect()] == [2]
+
+
+def test_visual_order_reads_arrow_columns(spark):
+    nodes, edges, _ = frames(spark, [(CHAIN, ARROWS), (CHAIN[:2], [])])
+    done = graphs.reindex(nodes, edges)[0]
+    assert "MapInPandas" not in plan(done)
+    assert sorted((r.model, r.node, r.row_index, r.col_index) for r in done.collect()) == [(0, 1, 1, 1), (0, 2, 2, 1), (0, 3, 3, 1), (0, 4, 4, 1), (1, 1, 1, 1), (1, 2, 2, 1)]
+
+
 def test_mermaid_reader():
     g = graph_of("flowchart TD\nA[one] --> B(two)\nB -->|yes| C{\"th\nree\"}; C ==> A\n%% note\nstyle A x")
     assert g["nodes"] == [("A", "one", "rectangle"), ("B", "two", "ellipse"), ("C", "th ree", "diamond")]
