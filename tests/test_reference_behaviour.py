@@ -114,6 +114,15 @@ def test_visual_order_reads_arrow_columns(spark):
     assert sorted((r.model, r.node, r.row_index, r.col_index) for r in done.collect()) == [(0, 1, 1, 1), (0, 2, 2, 1), (0, 3, 3, 1), (0, 4, 4, 1), (1, 1, 1, 1), (1, 2, 2, 1)]
 
 
+def test_structures_are_measured_by_their_kind(spark):
+    from tessera.operators import agreement
+
+    rows = [("t", 0, "table", "a|b\nc|d"), ("t", 1, "table", "a|b"), ("x", 0, "text", "same"), ("x", 1, "text", "same")]
+    got = agreement.structure_agreement(spark.createDataFrame(rows, "item string, model int, kind string, content string"))
+    assert "= table)" in plan(got)  # what isn't a table has no rows and columns to compare
+    assert {r.item: r.structure_agreement for r in got.collect()} == {"t": pytest.approx(0.5 + 0.25 * 0.75 + 0.25 * 0.5), "x": 1.0}
+
+
 def test_mermaid_reader():
     g = graph_of("flowchart TD\nA[one] --> B(two)\nB -->|yes| C{\"th\nree\"}; C ==> A\n%% note\nstyle A x")
     assert g["nodes"] == [("A", "one", "rectangle"), ("B", "two", "ellipse"), ("C", "th ree", "diamond")]
